@@ -21,5 +21,9 @@ def scale_sentiment(col: str | Column) -> Column:
 
 
 def round6(col: str | Column) -> Column:
-    """Round doubles for order-insensitive comparisons with other engines."""
-    return F.round(_c(col).cast("double"), 6)
+    """Round doubles for order-insensitive comparisons with other engines.
+
+    ``+ 0.0`` turns a rounded ``-0.0`` (a sum that cancels to a tiny negative
+    in one summation order) into ``0.0``.
+    """
+    return F.round(_c(col).cast("double"), 6) + F.lit(0.0)
