@@ -75,7 +75,10 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def choose_label(df: DataFrame, out: str = "label_rating") -> DataFrame:
-    """PRJ-3: the label is ``final_rating`` if present, else ``rating``."""
+    """PRJ-3: the label is ``final_rating`` if present, else ``rating``
+    (a frame that already has ``out`` is returned as it is)."""
+    if out in df.columns:
+        return df
     for name in ("final_rating", "rating"):
         if name in df.columns:
             return df.withColumnRenamed(name, out)

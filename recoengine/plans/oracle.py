@@ -106,6 +106,21 @@ ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT doc_id AS id, CASE WHEN doc_id % 50 = 7 THEN NULL ELSE text END AS review_text FROM documents"""),
     "event_interactions": ((), """
         SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS book_title, value AS label_rating FROM events"""),
+    "cf_ratings": (("interactions", "part_meta"), """
+        SELECT d.user_id, d.book_title, d.rating AS label_rating, m.author, m.categories, d.review_time
+        FROM (SELECT * EXCLUDE (rn) FROM (
+                SELECT *, row_number() OVER (PARTITION BY user_id, book_title ORDER BY review_time DESC NULLS LAST,
+                       rating DESC NULLS LAST, l_orderkey ASC NULLS LAST, l_linenumber ASC NULLS LAST,
+                       l_suppkey ASC NULLS LAST, l_extendedprice ASC NULLS LAST) AS rn
+                FROM interactions WHERE rating IS NOT NULL AND rating >= 1 AND rating <= 5) WHERE rn = 1) d
+        LEFT JOIN part_meta m ON d.book_title = m.book_title"""),
+    "seen": (("interactions", "part_meta"), """
+        SELECT i.user_id, i.book_title, i.rating AS label_rating, m.author, m.categories
+        FROM interactions i LEFT JOIN part_meta m ON i.book_title = m.book_title
+        WHERE i.review_time < TIMESTAMP '1999-01-01 00:00:00'"""),
+    "cands": (("interactions",), """
+        SELECT user_id, book_title, sum(l_quantity) / 50.0 AS cf_score FROM interactions
+        WHERE NOT (review_time < TIMESTAMP '1999-01-01 00:00:00') GROUP BY user_id, book_title"""),
     "lexicon": ((), f"SELECT * FROM (VALUES {_LEX_ROWS}) t(token, valence)"),
     "boosters": ((), f"SELECT * FROM (VALUES {_BOOST_ROWS}) t(tok, b)"),
 }

@@ -100,3 +100,242 @@ def con_6(spark, d):
 def snk_4(spark, d):
     """Nested result rows as written to JSON (checked by rows; values by CON_6_7)."""
     return content.recommendations_json(_similar(spark, d))
+
+
+# ------------------------------------------------------- collaborative filtering
+from recoengine.operators import cf  # noqa: E402
+
+
+@register(
+    "CF_1_index_users",
+    """SELECT user_id, CAST(row_number() OVER (ORDER BY cnt DESC, user_id ASC) - 1 AS INTEGER) AS user_index
+       FROM (SELECT user_id, count(*) AS cnt FROM cf_ratings WHERE user_id IS NOT NULL GROUP BY user_id)""",
+    ("cf_ratings",),
+)
+def cf_1u(spark, d):
+    return cf.index_ids(R.cf_ratings(spark, d), "user_id", "user_index")
+
+
+@register(
+    "CF_1_index_items",
+    """SELECT book_title, CAST(row_number() OVER (ORDER BY cnt DESC, book_title ASC) - 1 AS INTEGER) AS book_index
+       FROM (SELECT book_title, count(*) AS cnt FROM cf_ratings WHERE book_title IS NOT NULL GROUP BY book_title)""",
+    ("cf_ratings",),
+)
+def cf_1i(spark, d):
+    return cf.index_ids(R.cf_ratings(spark, d), "book_title", "book_index")
+
+
+SPLIT_SQL = """CASE WHEN (('0x' || substr(md5(concat_ws(chr(1), user_id, book_title, '42')), 1, 8))::BIGINT % 10000) < 8000
+                    THEN 'train' ELSE 'test' END"""
+
+
+@register("CF_2_split", f"SELECT user_id, book_title, {SPLIT_SQL} AS part FROM cf_ratings", ("cf_ratings",))
+def cf_2(spark, d):
+    train, test = cf.split(R.cf_ratings(spark, d))
+    return train.select("user_id", "book_title", F.lit("train").alias("part")).unionByName(
+        test.select("user_id", "book_title", F.lit("test").alias("part"))
+    )
+
+
+@register(
+    "CF_5_rating_errors",
+    f"""WITH s AS (SELECT *, {SPLIT_SQL} AS part FROM cf_ratings),
+    m AS (SELECT book_title, avg(CAST(label_rating AS DOUBLE)) AS prediction FROM s WHERE part = 'train' GROUP BY book_title),
+    p AS (SELECT s.label_rating, m.prediction FROM s JOIN m USING (book_title) WHERE s.part = 'test')
+    SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((prediction - label_rating) * (prediction - label_rating))), 6) AS rmse,
+           round(avg(abs(prediction - label_rating)), 6) AS mae FROM p""",
+    ("cf_ratings",),
+)
+def cf_5(spark, d):
+    """CF-5 on item-mean predictions (a model-free baseline with exact SQL)."""
+    train, test = cf.split(R.cf_ratings(spark, d))
+    means = train.groupBy("book_title").agg(F.avg(F.col("label_rating").cast("double")).alias("prediction"))
+    e = cf.rating_errors(test.join(means, "book_title"))
+    return e.select(F.col("n").cast("long").alias("n"), round6("rmse").alias("rmse"), round6("mae").alias("mae"))
+
+
+ACT_SQL = """SELECT user_id, count(*) AS cnt, avg(CAST(label_rating AS DOUBLE)) AS avg_r FROM cf_ratings GROUP BY user_id"""
+
+
+@register(
+    "TOP_5_eligible_users",
+    f"SELECT user_id, CAST(cnt AS BIGINT) AS cnt, round(avg_r, 6) AS avg_r FROM ({ACT_SQL}) WHERE cnt >= 5 AND avg_r >= 2.5",
+    ("cf_ratings",),
+)
+def top_5e(spark, d):
+    e = cf.eligible_users(R.cf_ratings(spark, d))
+    return e.select("user_id", F.col("cnt").cast("long").alias("cnt"), round6("avg_r").alias("avg_r"))
+
+
+@register(
+    "TOP_5_pick_user",
+    f"""SELECT user_id, CAST(cnt AS BIGINT) AS cnt, round(avg_r, 6) AS avg_r FROM ({ACT_SQL})
+    ORDER BY CASE WHEN cnt >= 5 AND avg_r >= 2.5 THEN 0 ELSE 1 END,
+             CASE WHEN cnt >= 5 AND avg_r >= 2.5 THEN md5(user_id || ':42') END ASC NULLS FIRST, cnt DESC, user_id ASC
+    LIMIT 1""",
+    ("cf_ratings",),
+)
+def top_5(spark, d):
+    p = cf.pick_user(R.cf_ratings(spark, d))
+    return p.select("user_id", F.col("cnt").cast("long").alias("cnt"), round6("avg_r").alias("avg_r"))
+
+
+def _pref_sql(col: str, src: str = "cf_ratings") -> str:
+    return f"""SELECT user_id, {col}, CAST(cnt AS BIGINT) AS cnt, round(avg, 6) AS avg, pref_rank FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, avg DESC, {col} ASC) AS BIGINT) AS pref_rank
+      FROM (SELECT user_id, {col}, count(*) AS cnt, avg(CAST(label_rating AS DOUBLE)) AS avg FROM {src}
+            WHERE label_rating >= 4.0 AND {col} IS NOT NULL GROUP BY user_id, {col}))
+    WHERE pref_rank <= 5"""
+
+
+@register("CF_7_preferences_author", _pref_sql("author"), ("cf_ratings",))
+def cf_7a(spark, d):
+    p = cf.preferences(R.cf_ratings(spark, d), "author")
+    return p.select("user_id", "author", F.col("cnt").cast("long").alias("cnt"), round6("avg").alias("avg"), "pref_rank")
+
+
+@register("CF_7_preferences_categories", _pref_sql("categories"), ("cf_ratings",))
+def cf_7c(spark, d):
+    p = cf.preferences(R.cf_ratings(spark, d), "categories")
+    return p.select("user_id", "categories", F.col("cnt").cast("long").alias("cnt"), round6("avg").alias("avg"), "pref_rank")
+
+
+@register(
+    "JOI_6_exclude_seen",
+    """SELECT user_id, book_title, round(cf_score, 6) AS cf_score FROM cands c
+       WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = c.user_id AND s.book_title = c.book_title)""",
+    ("seen", "cands"),
+)
+def joi_6(spark, d):
+    seen, cands = R.seen_and_candidates(spark, d)
+    return cf.exclude_seen(cands, seen).select("user_id", "book_title", round6("cf_score").alias("cf_score"))
+
+
+BOOSTED_SQL = f"""
+    unseen AS (SELECT c.* FROM cands c WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = c.user_id AND s.book_title = c.book_title)),
+    meta AS (SELECT book_title, author, categories FROM (SELECT *, row_number() OVER (PARTITION BY book_title
+               ORDER BY author ASC NULLS LAST, categories ASC NULLS LAST) AS rn
+             FROM (SELECT DISTINCT book_title, author, categories FROM seen WHERE book_title IS NOT NULL)) WHERE rn = 1),
+    pa AS ({_pref_sql('author', 'seen')}),
+    pc AS ({_pref_sql('categories', 'seen')}),
+    boosted AS (SELECT u.user_id, u.book_title, u.cf_score, m.author, m.categories,
+                       CAST(CASE WHEN pa.user_id IS NOT NULL THEN 1.0 ELSE 0.0 END AS DOUBLE) AS author_hit,
+                       CAST(CASE WHEN pc.user_id IS NOT NULL THEN 0.5 ELSE 0.0 END AS DOUBLE) AS genre_hit
+                FROM unseen u LEFT JOIN meta m ON u.book_title = m.book_title
+                LEFT JOIN pa ON pa.user_id = u.user_id AND pa.author = m.author
+                LEFT JOIN pc ON pc.user_id = u.user_id AND pc.categories = m.categories)"""
+
+
+def _boosted(spark, d):
+    seen, cands = R.seen_and_candidates(spark, d)
+    return seen, cands, cf.boosted_candidates(cands, seen, cf.item_metadata(seen))
+
+
+@register(
+    "CF_8_rerank",
+    f"""WITH {BOOSTED_SQL}
+    SELECT user_id, rank, book_title, round(final_score, 6) AS final_score, round(cf_score, 6) AS cf_score,
+           author_hit, genre_hit, author, categories FROM (
+      SELECT *, cf_score + author_hit + genre_hit AS final_score,
+             CAST(row_number() OVER (PARTITION BY user_id ORDER BY cf_score + author_hit + genre_hit DESC, cf_score DESC, book_title ASC) AS BIGINT) AS rank
+      FROM boosted) WHERE rank <= 20""",
+    ("seen", "cands"),
+)
+def cf_8(spark, d):
+    seen, cands = R.seen_and_candidates(spark, d)
+    r = cf.rerank(cands, seen, cf.item_metadata(seen))
+    return r.select(
+        "user_id", "rank", "book_title", round6("final_score").alias("final_score"), round6("cf_score").alias("cf_score"),
+        "author_hit", "genre_hit", "author", "categories",
+    )
+
+
+@register(
+    "CF_9_boosted_counts",
+    f"""WITH {BOOSTED_SQL}
+    SELECT user_id, CAST(count(*) AS BIGINT) AS n_candidates,
+           CAST(sum(CASE WHEN author_hit > 0 OR genre_hit > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_boosted
+    FROM boosted GROUP BY user_id""",
+    ("seen", "cands"),
+)
+def cf_9(spark, d):
+    _, _, scored = _boosted(spark, d)
+    c = cf.boosted_counts(scored)
+    return c.select("user_id", F.col("n_candidates").cast("long").alias("n_candidates"), F.col("n_boosted").cast("long").alias("n_boosted"))
+
+
+@register("CF_3_4_5_als_holdout_errors")
+def cf_3(spark, d):
+    """CF-3/4/5 with ALS (rank 20, 12 iterations, reg 0.12, non-negative,
+    seed 42): hold-out RMSE/MAE.  Model output: rows-only check."""
+    labeled = cf.prepare_labels(R.cf_ratings(spark, d))
+    indexed, _, _ = cf.add_indexes(labeled)
+    train, test = cf.split(indexed)
+    model = cf.train_als(train.select("user_index", "book_index", "label_rating"))
+    return cf.rating_errors(cf.predict(model, test))
+
+
+@register("CF_6_10_recommend_for_users")
+def cf_10(spark, d):
+    """CF-6..10 for all users: ALS top-100 candidates, seen removed, author
+    and category boosts, top 20 per user.  Model output: rows-only check."""
+    recs, _ = cf.recommend_for_users(R.cf_ratings(spark, d))
+    return recs.select("user_id", "rank", "book_title", "final_score", "cf_score", "author_hit", "genre_hit", "author", "categories")
+
+
+# ------------------------------------------------------------------ enrichment
+from recoengine.operators import enrich  # noqa: E402
+
+STRICT = "trim(regexp_replace(lower(regexp_replace({c}, '[^a-zA-Z0-9\\s]', '', 'g')), '\\s+', ' ', 'g'))"
+ENR_SQL = f"""
+    pop AS (SELECT book_title, count(*) AS review_count, avg(CAST(rating AS DOUBLE)) AS avg_rating FROM rated_books
+            GROUP BY book_title ORDER BY review_count DESC, avg_rating DESC NULLS LAST, book_title ASC LIMIT 400),
+    cand AS (SELECT *, {STRICT.format(c='book_title')} AS clean_title FROM (
+               SELECT DISTINCT r.book_title, p.review_count, p.avg_rating, r.description
+               FROM rated_books r JOIN pop p ON r.book_title = p.book_title WHERE r.book_title IS NOT NULL)),
+    keys AS (SELECT DISTINCT clean_title FROM cand WHERE (description IS NULL OR length(description) <= 80) AND clean_title <> ''),
+    cat AS (SELECT * FROM (SELECT {STRICT.format(c='title')} AS ck, description AS cd FROM catalog) WHERE ck <> '' AND length(cd) > 60),
+    t1 AS (SELECT k.clean_title, c.ck, c.cd, 1 AS tier, 0 AS extra FROM keys k JOIN cat c ON k.clean_title = c.ck),
+    pw AS (SELECT ck, cd, string_split(ck, ' ') AS w FROM cat WHERE len(string_split(ck, ' ')) > 1),
+    pk AS (SELECT ck, cd, w, unnest(range(1, len(w))) AS kk FROM pw),
+    px AS (SELECT ck, cd, array_to_string(w[1:kk], ' ') AS p, len(w) - kk AS extra FROM pk),
+    t2 AS (SELECT k.clean_title, px.ck, px.cd, 2 AS tier, px.extra FROM keys k JOIN px ON k.clean_title = px.p),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clean_title
+               ORDER BY tier ASC, extra ASC, ck ASC, length(cd) DESC, cd ASC) AS rn
+             FROM (SELECT * FROM t1 UNION ALL SELECT * FROM t2)) WHERE rn = 1),
+    found AS (SELECT clean_title, cd AS new_description, CAST(tier AS INTEGER) AS tier FROM best)"""
+
+
+def _enr_books(spark, d):
+    return enrich.enrichment_candidates(R.rated_books(spark, d), 400)
+
+
+@register(
+    "ENR_1_candidates",
+    f"""WITH {ENR_SQL}
+    SELECT book_title, CAST(review_count AS BIGINT) AS review_count, round(avg_rating, 6) AS avg_rating, description, clean_title FROM cand""",
+    ("rated_books", "catalog"),
+)
+def enr_1(spark, d):
+    c = _enr_books(spark, d)
+    return c.select("book_title", F.col("review_count").cast("long").alias("review_count"), round6("avg_rating").alias("avg_rating"), "description", "clean_title")
+
+
+@register("ENR_2_lookup", f"WITH {ENR_SQL}\nSELECT clean_title, new_description, tier FROM found", ("rated_books", "catalog"))
+def enr_2(spark, d):
+    return enrich.lookup_descriptions(_enr_books(spark, d), R.catalog(spark, d))
+
+
+@register(
+    "ENR_3_apply",
+    f"""WITH {ENR_SQL},
+    fin AS (SELECT c.book_title, CASE WHEN length(c.description) > 80 THEN c.description
+                                      ELSE coalesce(f.new_description, c.description) END AS final_description
+            FROM cand c LEFT JOIN found f ON c.clean_title = f.clean_title)
+    SELECT book_title, final_description FROM (SELECT *, row_number() OVER (PARTITION BY book_title
+        ORDER BY length(final_description) DESC NULLS LAST, final_description ASC NULLS LAST) AS rn FROM fin) WHERE rn = 1""",
+    ("rated_books", "catalog"),
+)
+def enr_3(spark, d):
+    return enrich.enrich_books(R.rated_books(spark, d), R.catalog(spark, d), 400)

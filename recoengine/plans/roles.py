@@ -212,3 +212,31 @@ def fixture_rules() -> dict:
         "boosters_up": FIXTURE_BOOSTERS_UP,
         "boosters_down": FIXTURE_BOOSTERS_DOWN,
     }
+
+
+def cf_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model input: WIN-1-deduplicated interactions with item metadata,
+    label = rating."""
+    from recoengine.operators.dedup import dedup_latest
+    from recoengine.operators.filters import valid_ratings
+
+    d = dedup_latest(valid_ratings(interactions(spark, sf_dir)), tie_breakers=INTERACTION_TIE_BREAKERS)
+    return d.join(part_meta(spark, sf_dir), "book_title", "left").select(
+        "user_id", "book_title", F.col("rating").alias("label_rating"), "author", "categories", "review_time"
+    )
+
+
+SPLIT_DATE = "1999-01-01"
+
+
+def seen_and_candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Re-rank inputs without a model: interactions before ``SPLIT_DATE`` are
+    the seen history (with metadata and label); later purchases are the
+    candidates, scored by quantity bought."""
+    i = interactions(spark, sf_dir)
+    before = F.col("review_time") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    seen = i.filter(before).join(part_meta(spark, sf_dir), "book_title", "left").select(
+        "user_id", "book_title", F.col("rating").alias("label_rating"), "author", "categories"
+    )
+    cands = i.filter(~before).groupBy("user_id", "book_title").agg((F.sum("l_quantity") / 50.0).alias("cf_score"))
+    return seen, cands
