@@ -430,3 +430,53 @@ def agg_9(spark, d):
 def agg_11(spark, d):
     df = C.null_sentinels(R.books_raw(spark, d), ["authors"])
     return profile.distinct_values(df, "authors", 10)
+
+
+# ------------------------------------------------------------ sources / sinks
+from recoengine.sources import io  # noqa: E402
+
+DOC_SCHEMA = "id long, review_text string, lang string"
+
+
+@register(
+    "SRC_1_SNK_1_csv_round_trip",
+    """SELECT doc_id AS id, CASE WHEN doc_id % 50 = 7 THEN NULL ELSE text END AS review_text, lang FROM documents""",
+)
+def src_1(spark, d):
+    """SNK-1 then SRC-1: texts with quotes, commas and line breaks survive a
+    CSV round trip (multiLine, quote escaping, untrimmed values)."""
+    docs = R.review_texts(spark, d).join(R.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang"), "id")
+    path = io.scratch_path(spark, "csv")
+    io.write_csv(docs.select("id", "review_text", "lang"), path, balance=True)
+    return io.read_csv(spark, path, DOC_SCHEMA)
+
+
+@register(
+    "SRC_2_SNK_2_parquet_round_trip",
+    f"""WITH {DEDUPED_SQL} SELECT user_id, book_title, CAST(rating AS DOUBLE) AS rating, review_time FROM deduped""",
+    ("interactions",),
+)
+def src_2(spark, d):
+    """SNK-2 (partitioned by rating, rebalanced files) then SRC-2."""
+    path = io.scratch_path(spark, "parquet")
+    io.write_parquet(deduped(spark, d).select("user_id", "book_title", "rating", "review_time"), path, balance=True, partition_by=["rating"])
+    back = io.read_parquet(spark, path)
+    return back.select("user_id", "book_title", F.col("rating").cast("double").alias("rating"), "review_time")
+
+
+@register("SRC_3_read_first_available", "SELECT * FROM part")
+def src_3(spark, d):
+    """SRC-3: a missing Parquet path is skipped, the next source is read."""
+    return io.read_first_available(spark, [("parquet", f"{d}/no_such_table.parquet"), ("parquet", f"{d}/part.parquet")])
+
+
+@register(
+    "SRC_4_cap_rows",
+    """SELECT user_id, book_title, l_orderkey, l_linenumber, l_suppkey FROM interactions
+       ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, user_id, book_title LIMIT 1000""",
+    ("interactions",),
+)
+def src_4(spark, d):
+    """SRC-4: an ordered row cap (the cap is the feature)."""
+    order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
+    return io.cap_rows(R.interactions(spark, d), 1000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")

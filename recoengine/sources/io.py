@@ -13,6 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
+# The CSV writer trims values unless told otherwise.
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -74,7 +82,7 @@ def _layout(df: DataFrame, files: int | None, balance: bool) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, balance: bool = False) -> None:
     """SNK-1: overwrite CSV with header (quotes escaped by doubling)."""
-    _layout(df, files, balance).write.mode("overwrite").options(**{k: v for k, v in CSV_OPTIONS.items() if k != "mode"}).csv(path)
+    _layout(df, files, balance).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None, balance: bool = False, partition_by: Sequence[str] = ()) -> None:
@@ -83,3 +91,13 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None, balance: b
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a job's own intermediate output, under the shared
+    ``spark.checkpoint.dir`` (never a machine-local folder on a cluster)."""
+    import uuid
+
+    from recoengine.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/recoengine-scratch/{name}-{uuid.uuid4().hex}"
