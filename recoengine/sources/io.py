@@ -81,7 +81,9 @@ def _layout(df: DataFrame, files: int | None, balance: bool) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, balance: bool = False) -> None:
-    """SNK-1: overwrite CSV with header (quotes escaped by doubling)."""
+    """SNK-1: overwrite CSV with header (quotes escaped by doubling, values
+    not trimmed).  Default dialect: NULL is an empty field, and an empty
+    string reads back as NULL too (the sentinel rule PRJ-5 treats both alike)."""
     _layout(df, files, balance).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
