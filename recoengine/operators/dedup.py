@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoengine.operators.ranking import first_per_key
+from recoengine.session import reused
 
 
 def latest_order(df: DataFrame, time_col: str = "review_time", rating_col: str = "rating", tie_breakers: Sequence[str] = ()) -> list[Column]:
@@ -52,8 +53,11 @@ def thin_sparse(
     Counts are partial (map-side) aggregates; the filters are ``left_semi``
     joins, which AQE may turn into broadcasts once it has measured the
     qualified-key side, and whose skewed partitions it splits otherwise.
+    The input and the user-filtered frame are each read twice, so both are
+    persisted (:func:`recoengine.session.reused`).
     """
+    df = reused(df)
     users = df.groupBy(user_col).count().filter(F.col("count") >= min_user).select(user_col)
-    kept = df.join(users, user_col, "left_semi")
+    kept = reused(df.join(users, user_col, "left_semi"))
     items = kept.groupBy(item_col).count().filter(F.col("count") >= min_item).select(item_col)
     return kept.join(items, item_col, "left_semi")

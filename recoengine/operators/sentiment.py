@@ -46,6 +46,7 @@ from recoengine.functions.constants import (
     NORMALIZATION_ALPHA,
 )
 from recoengine.functions.text import word_tokens
+from recoengine.session import reused
 
 LOOKBACK = len(BOOSTER_DECAY)
 
@@ -93,13 +94,18 @@ def score_sentiment(
     booster_increment: float = BOOSTER_INCREMENT,
     booster_decay: Sequence[float] = BOOSTER_DECAY,
     alpha: float = NORMALIZATION_ALPHA,
+    reuse_input: bool = False,
 ) -> DataFrame:
     """SEN-1/2/3: append ``out`` (double in [-1, 1]) to ``df``.
 
     ``keys`` must identify rows uniquely (e.g. a review id, or
-    ``(user_id, book_title)`` after WIN-1).
+    ``(user_id, book_title)`` after WIN-1).  ``df`` is read twice (tokens and
+    join-back); ``reuse_input=True`` persists it, worth it when its upstream
+    is expensive and its rows are not text-heavy.
     """
     keys = list(keys)
+    if reuse_input:
+        df = reused(df)  # read twice: tokens, and the join-back
     toks = token_rows(df, keys, text_col, len(booster_decay))
     lex = prepared_lexicon(lexicon)
     hits = toks.join(lex, toks.tok == lex._tok)

@@ -54,3 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         found = tempfile.mkdtemp(prefix="recoengine-ckpt-")
     spark.sparkContext.setCheckpointDir(found)
     return found
+
+
+def reused(df):
+    """Persist a frame that one plan reads more than once (memory, spilling
+    to disk).  Differently pruned branches of a plan do not share exchanges,
+    so without this every consumer recomputes the whole upstream.  The
+    lineage stays, so a lost executor only recomputes its own blocks."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
