@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators, one module per family (see README)."""

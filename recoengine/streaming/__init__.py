@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The original application has no streaming code (no ``readStream``,
+watermark, window, state or late-data handling), so none is built here.
+
+The row-wise operators (PRJ-*, FLT-*, PRJ-13/14 ``blend_rating``) are plain
+column expressions and apply unchanged to a streaming DataFrame.  The
+operators that aggregate, rank or join back (WIN-1, THN-1, SEN-1, CON-*,
+CF-*) are batch operators; on a stream they belong inside ``foreachBatch``.
+"""
