@@ -127,6 +127,41 @@ def funnel(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     )
 
 
+def row_funnel(df: DataFrame, steps: Sequence[tuple[str, Column]], input_name: str = "input") -> DataFrame:
+    """AGG-7 for row-wise steps in ONE pass: ``steps`` are ``(name,
+    keep_predicate)`` applied cumulatively; each count is a conditional sum of
+    the running conjunction.  Returns ``(seq, step, rows)`` with the input as
+    seq 0, ready for :func:`funnel_from_counts`."""
+    cond = F.lit(True)
+    aggs = [F.count(F.lit(1)).alias("_c0")]
+    for i, (_, pred) in enumerate(steps, start=1):
+        cond = cond & F.coalesce(pred, F.lit(False))
+        aggs.append(F.sum(F.when(cond, 1).otherwise(0)).alias(f"_c{i}"))
+    row = df.agg(*aggs)
+    names = [input_name] + [n for n, _ in steps]
+    pairs = ", ".join(f"{i}, '{n}', CAST(coalesce(_c{i}, 0) AS BIGINT)" for i, n in enumerate(names))
+    return row.selectExpr(f"stack({len(names)}, {pairs}) as (seq, step, rows)").select(
+        F.col("seq").cast("int").alias("seq"), "step", "rows"
+    )
+
+
+def step_count(df: DataFrame, seq: int, name: str) -> DataFrame:
+    """One ``(seq, step, rows)`` row for a step that is not row-wise (dedup, thinning)."""
+    return df.agg(F.count(F.lit(1)).cast("long").alias("rows")).select(
+        F.lit(seq).cast("int").alias("seq"), F.lit(name).alias("step"), "rows"
+    )
+
+
+def funnel_from_counts(counts: DataFrame) -> DataFrame:
+    """``(seq, step, rows)`` to ``(seq, step, rows_in, rows_out, removed)``."""
+    prev = counts.select((F.col("seq") + 1).alias("seq"), F.col("rows").alias("rows_in"))
+    return (
+        counts.filter(F.col("seq") > 0)
+        .join(prev, "seq")
+        .select("seq", "step", "rows_in", F.col("rows").alias("rows_out"), (F.col("rows_in") - F.col("rows")).alias("removed"))
+    )
+
+
 def nulled_counts(before: DataFrame, after: DataFrame, cols: Sequence[str], key: Sequence[str]) -> DataFrame:
     """AGG-7 companion: how many values a row-wise scrub turned into NULL.
 

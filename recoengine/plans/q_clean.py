@@ -111,7 +111,7 @@ from recoengine.functions.numeric import to_float  # noqa: E402
 from recoengine.functions.text import similarity_text, title_key, title_key_strict  # noqa: E402
 from recoengine.operators import columns as C  # noqa: E402
 from recoengine.operators.ranking import first_per_key, top_n_per_group  # noqa: E402
-from recoengine.plans.stages import stage_funnel_steps  # noqa: E402
+from recoengine.plans.stages import stage_funnel  # noqa: E402
 
 
 @register(
@@ -408,7 +408,7 @@ FROM c a JOIN c b ON a.seq = b.seq + 1"""
 
 @register("AGG_7_funnel", FUNNEL_SQL, ("reviews_raw",))
 def agg_7(spark, d):
-    return profile.funnel(stage_funnel_steps(R.reviews_raw(spark, d), 3, 3))
+    return stage_funnel(R.reviews_raw(spark, d), 3, 3)
 
 
 @register(

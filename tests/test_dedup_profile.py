@@ -79,3 +79,10 @@ def test_funnel(spark):
         ("even", 10, 5, 5),
         ("small", 5, 2, 3),
     ]
+
+
+def test_row_funnel_one_pass(spark):
+    df = spark.range(10).withColumn("v", F.when(F.col("id") == 3, None).otherwise(F.col("id")))
+    counts = profile.row_funnel(df, [("not_null", F.col("v").isNotNull()), ("even", F.col("v") % 2 == 0)])
+    out = profile.funnel_from_counts(counts).orderBy("seq").collect()
+    assert [(r.step, r.rows_in, r.rows_out, r.removed) for r in out] == [("not_null", 10, 9, 1), ("even", 9, 5, 4)]
