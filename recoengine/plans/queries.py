@@ -11,10 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from recoengine.functions.numeric import round6
-from recoengine.plans import roles as R
 from recoengine.plans.oracle import with_roles
 
 Query = Callable[[SparkSession, str], DataFrame]
