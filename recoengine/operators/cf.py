@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from recoengine.operators.profile import user_activity
 from recoengine.operators.ranking import dense_index, first_per_key, top_n_per_group
+from recoengine.session import reused
 
 
 def index_ids(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -246,18 +247,24 @@ def recommend_for_users(
     Returns ``(recommendations, errors)``: the top ``n`` re-ranked items per
     user and the hold-out RMSE/MAE.  Fitting the model is the one action.
     """
-    labeled = prepare_labels(df)
+    # The labelled ratings feed the indexes, the split, the metadata, the seen
+    # set and both preference tables: thin rows (ids, label, author,
+    # category), persisted once instead of recomputed per consumer.
+    wanted = [c for c in ("user_id", "book_title", "label_rating", "author", "categories") if c in prepare_labels(df).columns]
+    labeled = reused(prepare_labels(df).select(*wanted))
     indexed, user_idx, item_idx = add_indexes(labeled)
     train, test = split(indexed, train_fraction, params.seed)
     model = train_als(train.select("user_index", "book_index", "label_rating"), params)
     errors = rating_errors(predict(model, test))
     subset = None if users is None else users.join(user_idx, "user_id").select("user_index").distinct()
-    cands = (
-        candidates(model, subset, k)
-        .join(user_idx, "user_index")
-        .join(item_idx, "book_index")
-        .select("user_id", "book_title", "cf_score")
+    # Re-rank in index space (integer keys for the seen set, metadata and
+    # preferences), and map back to the string ids only after the top-n cut:
+    # k/n times fewer rows go through the two id joins.
+    cands = candidates(model, subset, k)
+    indexed = reused(indexed)
+    meta = item_metadata(indexed, item_col="book_index")
+    ranked = rerank(
+        cands, indexed, meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index"
     )
-    meta = item_metadata(labeled)
-    recs = rerank(cands, labeled, meta, author_boost, genre_boost, n)
+    recs = ranked.join(user_idx, "user_index").join(item_idx, "book_index").drop("user_index", "book_index")
     return recs, errors
