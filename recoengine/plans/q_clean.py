@@ -480,3 +480,15 @@ def src_4(spark, d):
     """SRC-4: an ordered row cap (the cap is the feature)."""
     order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
     return io.cap_rows(R.interactions(spark, d), 1000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@register(
+    "SRC_4_cap_rows_large",
+    """SELECT user_id, book_title, l_orderkey, l_linenumber, l_suppkey FROM interactions
+       ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, user_id, book_title LIMIT 20000""",
+    ("interactions",),
+)
+def src_4_large(spark, d):
+    """SRC-4 above the small-cap threshold: distributed rank, no single-task top-k."""
+    order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
+    return io.cap_rows(R.interactions(spark, d), 20000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")

@@ -57,14 +57,25 @@ def read_first_available(
     raise FileNotFoundError(f"none of {[p for _, p in sources]} exists")
 
 
-def cap_rows(df: DataFrame, n: int | None, order: Sequence[Column]) -> DataFrame:
+def cap_rows(df: DataFrame, n: int | None, order: Sequence[Column], small_cap: int = 10_000) -> DataFrame:
     """SRC-4: keep the first ``n`` rows under a total order (0/None = off).
 
-    The cap is the feature (a bounded extract), so it is an ordered limit.
+    The cap is the feature (a bounded extract).  Up to ``small_cap`` rows it
+    is an ordered limit (``TakeOrderedAndProject``: each task keeps ``n``
+    rows).  Above that, holding ``n`` rows per task and merging them in one
+    task does not scale (the original cap is 1,000,000), so rows are ranked
+    by a distributed range sort with per-partition offsets and filtered by
+    position.
     """
     if not n:
         return df
-    return df.orderBy(*order).limit(n)
+    if n <= small_cap:
+        return df.orderBy(*order).limit(n)
+    from pyspark.sql import functions as F
+
+    from recoengine.operators.ranking import dense_index
+
+    return dense_index(df, order, "__pos").filter(F.col("__pos") < n).drop("__pos")
 
 
 def _layout(df: DataFrame, files: int | None, balance: bool) -> DataFrame:

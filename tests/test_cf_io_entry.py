@@ -104,3 +104,14 @@ def test_entry_contract(spark):
     out = e.entry(spark)
     assert out.count() > 0 and out.columns == ["book_title", "review_count", "avg_rating"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_cap_rows_large_cap_is_distributed_and_exact(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k")).repartition(7)
+    small = io.cap_rows(df, 1200, [F.col("k").asc()])
+    big = io.cap_rows(df, 1200, [F.col("k").asc()], small_cap=100)
+    assert sorted(r.k for r in small.collect()) == list(range(1200))
+    assert sorted(r.k for r in big.collect()) == list(range(1200))
+    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
