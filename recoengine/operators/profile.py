@@ -58,24 +58,52 @@ def coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, expr: Column, approx: bool = False, accuracy: int = 10000) -> DataFrame:
+def numeric_summary(df: DataFrame, expr: Column, approx: bool = False, accuracy: int = 10000, method: str | None = None) -> DataFrame:
     """AGG-5/6: count, mean, sample stddev, min, quartiles, max of ``expr``.
 
-    Exact quartiles use linear interpolation (SQL ``percentile_cont``).
+    Quartiles interpolate linearly (SQL ``percentile_cont``).  ``method``:
+
+    * ``"exact"`` (default): Spark's ``percentile``, whose buffer is a
+      value -> count map, i.e. bounded by the number of *distinct* values
+      (right for lengths, counts, star ratings);
+    * ``"distributed"``: exact for high-cardinality doubles too: values are
+      ranked by a distributed range sort (per-partition offsets, see
+      :func:`recoengine.operators.ranking.dense_index`) and only the rows at
+      the interpolation positions are read back;
+    * ``"approx"`` (or ``approx=True``): ``percentile_approx``.
     """
+    method = method or ("approx" if approx else "exact")
     x = expr.cast("double")
-    if approx:
-        qs = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    else:
-        qs = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    row = df.agg(
+    moments = [
         F.count(x).alias("count"),
         F.avg(x).alias("mean"),
         F.stddev_samp(x).alias("stddev"),
         F.min(x).alias("min"),
-        qs.alias("_q"),
         F.max(x).alias("max"),
-    )
+    ]
+    if method == "distributed":
+        from recoengine.operators.ranking import dense_index
+
+        vals = df.select(x.alias("v")).filter(F.col("v").isNotNull())
+        ranked = dense_index(vals, [F.col("v").asc()], "pos")
+        n = vals.select(F.count(F.lit(1))).scalar()
+        picks = []
+        for q in (0.25, 0.5, 0.75):
+            h = (n - F.lit(1)) * F.lit(q)
+            lo, hi = F.floor(h), F.ceil(h)
+            v_lo = F.max(F.when(F.col("pos") == lo, F.col("v")))
+            v_hi = F.max(F.when(F.col("pos") == hi, F.col("v")))
+            picks.append(v_lo + (h - lo) * (v_hi - v_lo))
+        quartiles = ranked.agg(F.array(*picks).alias("q")).scalar()
+        row = df.agg(*moments).withColumn("_q", quartiles)
+    else:
+        if method == "approx":
+            q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
+        elif method == "exact":
+            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        else:
+            raise ValueError(f"unknown method {method!r}")
+        row = df.agg(*moments, q.alias("_q"))
     return row.select(
         F.col("count").cast("long").alias("count"),
         round6("mean").alias("mean"),

@@ -86,3 +86,16 @@ def test_row_funnel_one_pass(spark):
     counts = profile.row_funnel(df, [("not_null", F.col("v").isNotNull()), ("even", F.col("v") % 2 == 0)])
     out = profile.funnel_from_counts(counts).orderBy("seq").collect()
     assert [(r.step, r.rows_in, r.rows_out, r.removed) for r in out] == [("not_null", 10, 9, 1), ("even", 9, 5, 4)]
+
+
+def test_distributed_quantiles_equal_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    vals = [float(v) for v in rng.normal(size=997)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    a = profile.numeric_summary(df, F.col("x")).first()
+    b = profile.numeric_summary(df, F.col("x"), method="distributed").first()
+    assert a == b
+    arr = np.array([v for v in vals if v is not None])
+    assert abs(b.q50 - round(float(np.percentile(arr, 50)), 6)) < 1e-9
