@@ -85,7 +85,11 @@ def numeric_summary(df: DataFrame, expr: Column, approx: bool = False, accuracy:
         from recoengine.operators.ranking import dense_index
 
         vals = df.select(x.alias("v")).filter(F.col("v").isNotNull())
-        ranked = dense_index(vals, [F.col("v").asc()], "pos")
+        # A salt after the value spreads a hot value (a third of all rows
+        # equal) over several range partitions; equal values are
+        # interchangeable, so the quartiles do not depend on it.
+        salt = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
+        ranked = dense_index(vals.withColumn("_salt", salt), [F.col("v").asc(), F.col("_salt").asc()], "pos")
         n = vals.select(F.count(F.lit(1))).scalar()
         picks = []
         for q in (0.25, 0.5, 0.75):

@@ -99,3 +99,10 @@ def test_distributed_quantiles_equal_exact(spark):
     assert a == b
     arr = np.array([v for v in vals if v is not None])
     assert abs(b.q50 - round(float(np.percentile(arr, 50)), 6)) < 1e-9
+
+
+def test_distributed_quantiles_with_a_hot_value(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    a = profile.numeric_summary(df, F.col("x")).first()
+    b = profile.numeric_summary(df, F.col("x"), method="distributed").first()
+    assert a == b
