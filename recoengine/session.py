@@ -36,7 +36,10 @@ def local_session(app: str = "recoengine", cores: str = "*", shuffle_partitions:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared lineage-cut folder named by the cluster, if any."""
-    found = spark.sparkContext.getCheckpointDir()
+    try:
+        found = spark.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a local SparkContext handle
+        found = None
     if found:
         return found
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -52,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     found = checkpoint_dir(spark)
     if not found:
         found = tempfile.mkdtemp(prefix="recoengine-ckpt-")
-    spark.sparkContext.setCheckpointDir(found)
+    try:
+        spark.sparkContext.setCheckpointDir(found)
+    except Exception:  # no local SparkContext: the server-side setting applies
+        spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 

@@ -78,29 +78,38 @@ def cap_rows(df: DataFrame, n: int | None, order: Sequence[Column], small_cap: i
     return dense_index(df, order, "__pos").filter(F.col("__pos") < n).drop("__pos")
 
 
-def _layout(df: DataFrame, files: int | None, balance: bool) -> DataFrame:
+def _layout(df: DataFrame, files: int | None, balance: bool, shuffle: bool = True) -> DataFrame:
     """SNK-3: control the output file count.
 
-    ``files`` uses ``repartition`` (a round-robin shuffle, even file sizes);
-    ``balance=True`` uses the ``REBALANCE`` hint so AQE picks sizes itself.
+    ``files`` uses ``repartition`` (a round-robin shuffle, even file sizes),
+    or ``coalesce`` with ``shuffle=False`` (no shuffle, merges partitions, at
+    most ``files`` files); ``balance=True`` uses the ``REBALANCE`` hint so AQE
+    picks sizes itself.
     """
     if files:
-        return df.repartition(files)
+        return df.repartition(files) if shuffle else df.coalesce(files)
     if balance:
         return df.hint("rebalance")
     return df
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None, balance: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, files: int | None = None, balance: bool = False, shuffle: bool = True) -> None:
     """SNK-1: overwrite CSV with header (quotes escaped by doubling, values
     not trimmed).  Default dialect: NULL is an empty field, and an empty
     string reads back as NULL too (the sentinel rule PRJ-5 treats both alike)."""
-    _layout(df, files, balance).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    _layout(df, files, balance, shuffle).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, files: int | None = None, balance: bool = False, partition_by: Sequence[str] = ()) -> None:
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    balance: bool = False,
+    partition_by: Sequence[str] = (),
+    shuffle: bool = True,
+) -> None:
     """SNK-2: overwrite Parquet, optionally partitioned by columns."""
-    writer = _layout(df, files, balance).write.mode("overwrite")
+    writer = _layout(df, files, balance, shuffle).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
