@@ -339,3 +339,45 @@ def enr_2(spark, d):
 )
 def enr_3(spark, d):
     return enrich.enrich_books(R.rated_books(spark, d), R.catalog(spark, d), 400)
+
+
+# ------------------------------------------------------------- end-to-end flows
+from recoengine.plans.stages import curate  # noqa: E402
+
+
+@register("CF_10_on_curated_labels")
+def cf_10_curated(spark, d):
+    """The application's own chain: PIP-1 → PIP-2 → SEN → PIP-3 (final_rating
+    label) → CF-10 for all users.  Model output: rows-only check."""
+    curated = curate(R.reviews_raw(spark, d), R.books_raw(spark, d), R.fixture_lexicon(spark), sentiment_rules=R.fixture_rules())
+    recs, _ = cf.recommend_for_users(curated)
+    return recs.select("user_id", "rank", "book_title", "final_score", "cf_score", "author_hit", "genre_hit", "author", "categories")
+
+
+ENRICHED_SIMILAR_SQL = (
+    "WITH "
+    + ENR_SQL
+    + """,
+    fin AS (SELECT c.book_title, CASE WHEN length(c.description) > 80 THEN c.description
+                                      ELSE coalesce(f.new_description, c.description) END AS final_description
+            FROM cand c LEFT JOIN found f ON c.clean_title = f.clean_title),
+    enriched_src AS (SELECT book_title, final_description AS description FROM (
+        SELECT *, row_number() OVER (PARTITION BY book_title ORDER BY length(final_description) DESC NULLS LAST,
+                                     final_description ASC NULLS LAST) AS rn FROM fin) WHERE rn = 1),"""
+    + SIMILAR_SQL.replace("item_texts_src", "enriched_src").replace(
+        f"q AS (SELECT DISTINCT query FROM (VALUES {_Q_SQL}) t(query))",
+        "q AS (SELECT book_title AS query FROM pop ORDER BY review_count DESC, avg_rating DESC NULLS LAST, book_title ASC LIMIT 3)",
+    )
+    + "\nSELECT query, matched_title, rank, book_title, round(similarity, 6) + 0.0 AS similarity FROM ranked WHERE rank <= 20"
+)
+
+
+@register("CON_6_7_on_enriched_books", ENRICHED_SIMILAR_SQL, ("rated_books", "catalog"))
+def con_6_enriched(spark, d):
+    """The application's own chain: ENR-1..3 (top-400 books, catalogue
+    descriptions) → CON-1..7, queried with the three most popular titles."""
+    rated = R.rated_books(spark, d)
+    books = enrich.enrich_books(rated, R.catalog(spark, d), 400).withColumnRenamed("final_description", "description")
+    queries = enrich.top_popular(rated, 3).select(F.col("book_title").alias("query"))
+    s = content.similar_items(content.item_texts(books), queries, k=20)
+    return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))
