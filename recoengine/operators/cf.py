@@ -122,6 +122,21 @@ def pick_user(df: DataFrame, seed: int = 42, min_count: int = 5, min_avg: float
     return ordered.limit(1).drop("_fallback", "_h")
 
 
+def user_history(
+    df: DataFrame,
+    users: DataFrame | None = None,
+    n: int = 15,
+    user_col: str = "user_id",
+    item_col: str = "book_title",
+    label_col: str = "label_rating",
+) -> DataFrame:
+    """TOP-2: each user's ``n`` best-rated items (label desc, then item), for
+    the users in ``users`` (a frame with ``user_col``) or for everyone."""
+    rows = df if users is None else df.join(users.select(user_col).distinct(), user_col, "left_semi")
+    order = [F.col(label_col).desc_nulls_last(), F.col(item_col).asc()]
+    return top_n_per_group(rows, [user_col], order, n, rank_col="rank")
+
+
 def preferences(df: DataFrame, col: str, min_label: float = 4.0, n: int = 5, user_col: str = "user_id", label_col: str = "label_rating") -> DataFrame:
     """CF-7: each user's top ``n`` values of ``col`` among items rated ≥
     ``min_label``: by count desc, mean desc, value (G5)."""
