@@ -28,6 +28,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
+def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-1 for dumps of unknown layout: header names, every column a
+    string (no inference pass over the data); stages cast what they use
+    with ``try_cast``."""
+    return spark.read.options(**CSV_OPTIONS).csv(path)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Parquet, or header CSV as strings."""
+    if fmt == "parquet":
+        return read_parquet(spark, path)
+    if fmt == "csv":
+        return read_csv_strings(spark, path)
+    raise ValueError(f"unsupported format {fmt!r}")
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", balance: bool = True) -> None:
+    """Parquet or CSV with header, file sizes left to AQE (REBALANCE)."""
+    if fmt == "parquet":
+        write_parquet(df, path, balance=balance)
+    elif fmt == "csv":
+        write_csv(df, path, balance=balance)
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2."""
     return spark.read.parquet(path)
