@@ -1,4 +1,4 @@
-"""Run one stage as a Spark job: ``spark-submit -m recoengine.cli <stage> ...``
+"""Run one stage as a Spark job: ``spark-submit --py-files recoengine.zip recoengine/cli.py <stage> ...``
 (or ``python -m recoengine.cli`` with a local master).
 
 Stages mirror the original application's steps; each reads its inputs from
