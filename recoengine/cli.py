@@ -120,7 +120,9 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
         books = read(args.books)
         if "final_description" in books.columns and "description" not in books.columns:
             books = books.withColumnRenamed("final_description", "description")
-        queries = spark.createDataFrame([(t,) for t in args.titles], "query string")
+        from recoengine.session import literal_rows
+
+        queries = literal_rows(spark, [(t,) for t in args.titles], ["query"])
         content.write_recommendations_json(content.similar_items(content.item_texts(books), queries, k=args.k), args.out)
 
 

@@ -9,6 +9,7 @@ from recoengine.functions.numeric import round6
 from recoengine.operators import content
 from recoengine.plans import roles as R
 from recoengine.plans.queries import register
+from recoengine.session import literal_rows
 
 # Query titles for the similarity report (parameters, like a user's request).
 QUERY_TITLES = ("doc 1", "DOC 42", "Doc 500", "doc 99999999")
@@ -81,7 +82,7 @@ SIMILAR_SQL = TFIDF_SQL + f""",
 
 
 def _similar(spark, d):
-    queries = spark.createDataFrame([(q,) for q in QUERY_TITLES], "query string")
+    queries = literal_rows(spark, [(q,) for q in QUERY_TITLES], ["query"])
     return content.similar_items(_items(spark, d), queries, k=20)
 
 

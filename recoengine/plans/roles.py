@@ -203,7 +203,9 @@ FIXTURE_BOOSTERS_DOWN = ("this", "des")
 
 
 def fixture_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FIXTURE_LEXICON), "token string, valence double")
+    from recoengine.session import literal_rows
+
+    return literal_rows(spark, [(t, float(v)) for t, v in FIXTURE_LEXICON], ["token", "valence"])
 
 
 def fixture_rules() -> dict:

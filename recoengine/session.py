@@ -70,3 +70,13 @@ def reused(df):
     from pyspark import StorageLevel
 
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def literal_rows(spark: SparkSession, rows, names):
+    """A small literal table built on the JVM side (``inline`` over a literal
+    array): no Python worker, no RDD, and exact size statistics for the
+    planner.  Only for fixed, small inputs (fixture lexicons, query titles)."""
+    from pyspark.sql import functions as F
+
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
