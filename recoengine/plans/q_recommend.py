@@ -382,3 +382,14 @@ def con_6_enriched(spark, d):
     queries = enrich.top_popular(rated, 3).select(F.col("book_title").alias("query"))
     s = content.similar_items(content.item_texts(books), queries, k=20)
     return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))
+
+
+@register("CF_10_for_picked_user")
+def cf_10_picked(spark, d):
+    """The original's single-user run: TOP-5 picks one user (seeded hash among
+    users with ≥ 5 ratings and mean ≥ 2.5, else the most active), then CF-10
+    for that user only (``recommendForUserSubset``).  Rows-only check."""
+    ratings = R.cf_ratings(spark, d)
+    user = cf.pick_user(ratings).select("user_id")
+    recs, _ = cf.recommend_for_users(ratings, users=user)
+    return recs.select("user_id", "rank", "book_title", "final_score", "cf_score", "author_hit", "genre_hit", "author", "categories")
