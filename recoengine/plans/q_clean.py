@@ -343,9 +343,9 @@ def agg_4(spark, d):
     return profile.coverage(df, ["authors", "categories", "description"])
 
 
-SUMMARY_SQL = """SELECT CAST(count(x) AS BIGINT) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev,
-       round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50,
-       round(quantile_cont(x, 0.75), 6) AS q75, round(max(x), 6) AS max FROM ({src})"""
+SUMMARY_SQL = """SELECT CAST(count(x) AS BIGINT) AS count, round(avg(x), 6) + 0.0 AS mean, round(stddev_samp(x), 6) + 0.0 AS stddev,
+       round(min(x), 6) + 0.0 AS min, round(quantile_cont(x, 0.25), 6) + 0.0 AS q25, round(quantile_cont(x, 0.5), 6) + 0.0 AS q50,
+       round(quantile_cont(x, 0.75), 6) + 0.0 AS q75, round(max(x), 6) + 0.0 AS max FROM ({src})"""
 
 
 @register(
@@ -414,7 +414,7 @@ def agg_7(spark, d):
 
 @register(
     "AGG_9_user_activity",
-    """SELECT user_id, CAST(count(*) AS BIGINT) AS cnt, round(avg(label_rating), 6) AS avg_r FROM event_interactions GROUP BY user_id""",
+    """SELECT user_id, CAST(count(*) AS BIGINT) AS cnt, round(avg(label_rating), 6) + 0.0 AS avg_r FROM event_interactions GROUP BY user_id""",
     ("event_interactions",),
 )
 def agg_9(spark, d):
