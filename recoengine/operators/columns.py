@@ -52,17 +52,14 @@ def normalize_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     shadowing each other.
     """
     lowered = {k.lower(): v for k, v in mapping.items()}
-    renames: dict[str, str] = {}
-    targets: dict[str, str] = {}
-    for name in df.columns:
-        new = lowered.get(name.lower())
-        if new is None or new == name:
-            continue
-        if new in targets or (new in df.columns and new.lower() not in lowered):
-            other = targets.get(new, new)
-            raise ValueError(f"columns {other!r} and {name!r} both map to {new!r}")
-        targets[new] = name
-        renames[name] = new
+    final = {name: lowered.get(name.lower(), name) for name in df.columns}
+    seen: dict[str, str] = {}
+    for name, new in final.items():
+        key = new.lower()  # Spark resolves names case-insensitively
+        if key in seen:
+            raise ValueError(f"columns {seen[key]!r} and {name!r} both map to {new!r}")
+        seen[key] = name
+    renames = {name: new for name, new in final.items() if new != name}
     return df.withColumnsRenamed(renames) if renames else df
 
 

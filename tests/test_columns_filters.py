@@ -94,3 +94,11 @@ def test_min_length_and_find_title(spark):
     assert rows(filters.find_title(df, "DOC A"), "book_title") == [("Doc A",), ("doc a",)]
     assert rows(filters.find_title(df, "DOC A", negate=True), "book_title") == [("Doc B",)]
     assert filters.drop_missing(df.union(spark.createDataFrame([(None, "x")], df.schema)), ["review_text"]).count() == 3
+
+
+def test_normalize_columns_rejects_collisions(spark):
+    df = spark.createDataFrame([(1, 2)], "user_id int, user int")
+    with pytest.raises(ValueError):
+        C.normalize_columns(df, C.REVIEW_ALIASES)
+    ok = spark.createDataFrame([(1, 2)], "user_id int, Title int")
+    assert C.normalize_columns(ok, C.REVIEW_ALIASES).columns == ["user_id", "book_title"]
