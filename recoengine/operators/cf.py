@@ -265,8 +265,9 @@ def recommend_for_users(
     # The labelled ratings feed the indexes, the split, the metadata, the seen
     # set and both preference tables: thin rows (ids, label, author,
     # category), persisted once instead of recomputed per consumer.
-    wanted = [c for c in ("user_id", "book_title", "label_rating", "author", "categories") if c in prepare_labels(df).columns]
-    labeled = reused(prepare_labels(df).select(*wanted))
+    prepared = prepare_labels(df)
+    wanted = [c for c in ("user_id", "book_title", "label_rating", "author", "categories") if c in prepared.columns]
+    labeled = reused(prepared.select(*wanted))
     indexed, user_idx, item_idx = add_indexes(labeled)
     train, test = split(indexed, train_fraction, params.seed)
     model = train_als(train.select("user_index", "book_index", "label_rating"), params)
@@ -274,7 +275,8 @@ def recommend_for_users(
     subset = None if users is None else users.join(user_idx, "user_id").select("user_index").distinct()
     # Re-rank in index space (integer keys for the seen set, metadata and
     # preferences), and map back to the string ids only after the top-n cut:
-    # k/n times fewer rows go through the two id joins.
+    # k/n times fewer rows go through the two id joins.  Exact score ties are
+    # broken by item index (frequency order) here, not by title.
     cands = candidates(model, subset, k)
     indexed = reused(indexed)
     meta = item_metadata(indexed, item_col="book_index")
