@@ -85,7 +85,7 @@ def score_sentiment(
     df: DataFrame,
     lexicon: DataFrame,
     text_col: str = "review_text",
-    keys: Sequence[str] = ("id",),
+    keys: Sequence[str] | None = ("id",),
     out: str = "sentiment_score",
     negators: Sequence[str] = NEGATORS,
     boosters_up: Sequence[str] = BOOSTERS_UP,
@@ -99,14 +99,26 @@ def score_sentiment(
     """SEN-1/2/3: append ``out`` (double in [-1, 1]) to ``df``.
 
     ``keys`` must identify rows uniquely (e.g. a review id, or
-    ``(user_id, book_title)`` after WIN-1).  ``df`` is read twice (tokens and
-    join-back); ``reuse_input=True`` persists it, worth it when its upstream
-    is expensive and its rows are not text-heavy.
+    ``(user_id, book_title)`` after WIN-1).  ``keys=None`` scores each
+    distinct text once, keyed by ``md5(text)`` (a compact key, so token rows
+    do not carry the text; two different texts share a 128-bit digest with
+    negligible probability), and joins the scores back on that digest: for
+    frames without a row key, or with many repeated texts.  ``df`` is read
+    twice (tokens and join-back); ``reuse_input=True`` persists it, worth it
+    when its upstream is expensive and its rows are not text-heavy.
     """
-    keys = list(keys)
     if reuse_input:
         df = reused(df)  # read twice: tokens, and the join-back
-    toks = token_rows(df, keys, text_col, len(booster_decay))
+    digest = None
+    if keys is None:
+        digest = "__text_md5"
+        df = df.withColumn(digest, F.md5(F.col(text_col)))
+        keys = [digest]
+        source = df.select(digest, text_col).filter(F.col(digest).isNotNull()).dropDuplicates([digest])
+    else:
+        keys = list(keys)
+        source = df
+    toks = token_rows(source, keys, text_col, len(booster_decay))
     lex = prepared_lexicon(lexicon)
     hits = toks.join(lex, toks.tok == lex._tok)
     v = F.col("_val")
@@ -122,4 +134,5 @@ def score_sentiment(
     sums = hits.groupBy(*keys).agg(F.sum(word).alias("__s"))
     s = F.col("__s")
     scored = df.join(sums, keys, "left")
-    return scored.withColumn(out, F.coalesce(s / F.sqrt(s * s + F.lit(alpha)), F.lit(0.0))).drop("__s")
+    scored = scored.withColumn(out, F.coalesce(s / F.sqrt(s * s + F.lit(alpha)), F.lit(0.0))).drop("__s")
+    return scored.drop(digest) if digest else scored

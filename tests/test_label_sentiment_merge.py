@@ -85,3 +85,13 @@ def test_merge_dedupe_longest(spark):
     reviews = spark.createDataFrame([("r1", "part 1"), ("r2", "?")], "rid string, book_title string")
     out = {r.rid: r.authors for r in merge_reviews(reviews, _books(spark)).collect()}
     assert out == {"r1": "B", "r2": None}
+
+
+def test_sentiment_by_distinct_text(spark):
+    texts = [(1, "good"), (2, "good"), (3, "not good"), (4, None), (5, "")]
+    df = spark.createDataFrame(texts, "id long, review_text string")
+    a = {r.id: r.sentiment_score for r in score_sentiment(df, _lex(spark)).collect()}
+    out = score_sentiment(df.drop("id").withColumn("n", F.lit(1)), _lex(spark), keys=None)
+    assert out.columns == ["review_text", "n", "sentiment_score"] and out.count() == 5
+    by_text = {r.review_text: r.sentiment_score for r in out.collect()}
+    assert by_text["good"] == a[1] and by_text["not good"] == a[3] and by_text[None] == 0.0 and by_text[""] == 0.0
