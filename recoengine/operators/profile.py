@@ -194,13 +194,12 @@ def funnel_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def nulled_counts(before: DataFrame, after: DataFrame, cols: Sequence[str], key: Sequence[str]) -> DataFrame:
+def nulled_counts(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG-7 companion: how many values a row-wise scrub turned into NULL.
 
-    Computed in one pass over ``after`` joined to nothing: the scrub is
-    row-wise, so both frames have the same rows and we compare NULL counts.
+    The scrub is row-wise, so both frames hold the same rows: the answer is
+    the difference of non-NULL counts, one aggregate pass over each.
     """
-    del key
     b = before.agg(*[F.count(F.col(c)).alias(c) for c in cols])
     a = after.agg(*[F.count(F.col(c)).alias(c) for c in cols])
     pairs_b = ", ".join(f"'{c}', `{c}`" for c in cols)

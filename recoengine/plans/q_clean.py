@@ -493,3 +493,20 @@ def src_4_large(spark, d):
     """SRC-4 above the small-cap threshold: distributed rank, no single-task top-k."""
     order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
     return io.cap_rows(R.interactions(spark, d), 20000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@register(
+    "AGG_7_nulled_counts",
+    """SELECT 'authors' AS "column", CAST(count(authors) - count(CASE WHEN authors IS NOT NULL AND length(authors) < 150
+              AND NOT regexp_matches(authors, '(?i)(review|amazon|page|chapter|purchase|bought|read this)') THEN 1 END) AS BIGINT) AS nulled
+       FROM books_raw
+       UNION ALL
+       SELECT 'categories', CAST(count(categories) - count(CASE WHEN categories IS NOT NULL AND length(categories) < 100
+              AND NOT regexp_matches(categories, '(?i)(review|amazon|page|chapter|purchase)') THEN 1 END) AS BIGINT)
+       FROM books_raw""",
+    ("books_raw",),
+)
+def agg_7_nulled(spark, d):
+    """AGG-7 companion: values the PRJ-10/11 scrub turned into NULL, one pass each."""
+    raw = R.books_raw(spark, d)
+    return profile.nulled_counts(raw, C.scrub_categories(C.scrub_authors(raw)), ["authors", "categories"])
