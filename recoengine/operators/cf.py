@@ -280,8 +280,12 @@ def recommend_for_users(
     cands = candidates(model, subset, k)
     indexed = reused(indexed)
     meta = item_metadata(indexed, item_col="book_index")
+    # Seen items and preferences are per user: for a user subset, only the
+    # subset's own ratings are needed (a semi-join AQE can broadcast), so
+    # serving one user does not shuffle everyone's ratings.
+    history = indexed if subset is None else indexed.join(subset, "user_index", "left_semi")
     ranked = rerank(
-        cands, indexed, meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index"
+        cands, history, meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index"
     )
     recs = ranked.join(user_idx, "user_index").join(item_idx, "book_index").drop("user_index", "book_index")
     return recs, errors

@@ -118,3 +118,15 @@ def test_cap_rows_large_cap_is_distributed_and_exact(spark):
     assert sorted(r.k for r in small.collect()) == list(range(1200))
     assert sorted(r.k for r in big.collect()) == list(range(1200))
     assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_user_subset_equals_all_users_filtered(spark):
+    df = _ratings(spark)
+    p = cf.AlsParams(max_iter=5)
+    users = spark.createDataFrame([("u3",), ("u8",)], "user_id string")
+    sub, _ = cf.recommend_for_users(df, users, p, k=40, n=5)
+    full, _ = cf.recommend_for_users(df, None, p, k=40, n=5)
+    cols = ["user_id", "rank", "book_title", "author_hit", "genre_hit"]
+    a = sorted(tuple(r) for r in sub.select(*cols).collect())
+    b = sorted(tuple(r) for r in full.join(users, "user_id", "left_semi").select(*cols).collect())
+    assert a == b and len(a) == 10
