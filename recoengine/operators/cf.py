@@ -157,6 +157,8 @@ def item_metadata(df: DataFrame, item_col: str = "book_title", cols: Sequence[st
     """JOI-5's right side: one metadata row per item (smallest values: G5)."""
     present = [c for c in cols if c in df.columns]
     rows = df.select(item_col, *present).filter(F.col(item_col).isNotNull()).distinct()
+    if not present:
+        return rows
     return first_per_key(rows, [item_col], [F.col(c).asc_nulls_last() for c in present])
 
 

@@ -107,6 +107,9 @@ def score_sentiment(
     twice (tokens and join-back); ``reuse_input=True`` persists it, worth it
     when its upstream is expensive and its rows are not text-heavy.
     """
+    from recoengine.operators.columns import require_columns
+
+    require_columns(df, [text_col] + ([] if keys is None else list(keys)))
     if reuse_input:
         df = reused(df)  # read twice: tokens, and the join-back
     digest = None

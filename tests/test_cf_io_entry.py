@@ -130,3 +130,20 @@ def test_user_subset_equals_all_users_filtered(spark):
     a = sorted(tuple(r) for r in sub.select(*cols).collect())
     b = sorted(tuple(r) for r in full.join(users, "user_id", "left_semi").select(*cols).collect())
     assert a == b and len(a) == 10
+
+
+def test_recommend_without_metadata_columns(spark):
+    df = _ratings(spark).drop("author", "categories")
+    recs, _ = cf.recommend_for_users(df, None, cf.AlsParams(max_iter=3), k=40, n=3)
+    rows = recs.collect()
+    assert rows and all(r.author_hit == 0.0 and r.genre_hit == 0.0 and r.author is None for r in rows)
+
+
+def test_sentiment_requires_its_columns(spark):
+    from recoengine.operators.columns import MissingColumnsError
+    from recoengine.operators.sentiment import score_sentiment
+
+    df = spark.createDataFrame([(1, "x")], "id long, body string")
+    lex = spark.createDataFrame([("x", 1.0)], "token string, valence double")
+    with pytest.raises(MissingColumnsError):
+        score_sentiment(df, lex)
