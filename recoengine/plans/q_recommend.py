@@ -52,9 +52,15 @@ def con_4(spark, d):
     return tf.select("book_title", "term", F.col("tf").cast("long").alias("tf"))
 
 
-@register("CON_4_hashed_term_frequency")
+@register(
+    "CON_4_hashed_term_frequency",
+    f"""WITH {TFIDF_SQL}
+    SELECT book_title, CAST((('0x' || substr(md5(term), 1, 8))::BIGINT % 262144) AS VARCHAR) AS term, CAST(sum(tf) AS BIGINT) AS tf
+    FROM tf GROUP BY 1, 2""",
+    ("item_texts_src",),
+)
 def con_4h(spark, d):
-    """Hashed mode (2^18 buckets): rows-only, bucket ids are Spark's own hash."""
+    """Hashed mode (2^18 buckets from md5)."""
     tf = content.term_frequency(_items(spark, d), mode="hashed")
     return tf.select("book_title", "term", F.col("tf").cast("long").alias("tf"))
 
