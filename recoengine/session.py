@@ -14,6 +14,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files (dense index, ALS lineage cuts) are removed once their
+    # frames are garbage-collected instead of piling up in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
