@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from recoengine.operators.profile import user_activity
 from recoengine.operators.ranking import dense_index, first_per_key, top_n_per_group
-from recoengine.session import reused
+from recoengine.session import ensure_checkpoint_dir, reused
 
 
 def index_ids(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -262,14 +262,19 @@ def recommend_for_users(
     """CF-10: the whole flow for a set of users (all users when None).
 
     Returns ``(recommendations, errors)``: the top ``n`` re-ranked items per
-    user and the hold-out RMSE/MAE.  Fitting the model is the one action.
+    user and the hold-out RMSE/MAE.  Checkpointing the labelled ratings, the
+    two id indexes and fitting the model run jobs when this is called.
     """
     # The labelled ratings feed the indexes, the split, the metadata, the seen
-    # set and both preference tables: thin rows (ids, label, author,
-    # category), persisted once instead of recomputed per consumer.
+    # set and both preference tables.  They are thin rows (ids, label,
+    # author, category), so they are checkpointed to the shared folder: read
+    # once per consumer, and the lineage is cut, so the model's many jobs
+    # neither replan an upstream curation flow nor recompute it after a lost
+    # executor.
     prepared = prepare_labels(df)
     wanted = [c for c in ("user_id", "book_title", "label_rating", "author", "categories") if c in prepared.columns]
-    labeled = reused(prepared.select(*wanted))
+    ensure_checkpoint_dir(df.sparkSession)
+    labeled = prepared.select(*wanted).checkpoint(eager=True)
     indexed, user_idx, item_idx = add_indexes(labeled)
     train, test = split(indexed, train_fraction, params.seed)
     model = train_als(train.select("user_index", "book_index", "label_rating"), params)
