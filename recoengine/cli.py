@@ -20,7 +20,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from recoengine.session import ensure_checkpoint_dir
+from recoengine.session import apply_runtime_defaults, ensure_checkpoint_dir
 from recoengine.sources import io
 
 
@@ -79,6 +79,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"recoengine-{args.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    apply_runtime_defaults(spark)
 
     def read(path):
         return io.read_table(spark, path, args.in_format)
