@@ -54,20 +54,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only when it is unset.
-
-    On a cluster the setting must name a shared folder (HDFS, object store).
-    Falling back to a machine-local temporary folder is for local runs and
-    tests only, where driver and executors share one file system.
+    """Use the cluster's checkpoint folder; set a local one only when none is set.
+
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder (HDFS,
+    object store); Spark applies it at start-up.  Falling back to a
+    machine-local temporary folder is for local runs and tests only, where
+    driver and executors share one file system.  The folder is set at most
+    once per context: ``setCheckpointDir`` creates a fresh sub-folder each
+    time it is called.
     """
-    found = checkpoint_dir(spark)
-    if not found:
-        found = tempfile.mkdtemp(prefix="recoengine-ckpt-")
+    current = checkpoint_dir(spark)
     try:
-        spark.sparkContext.setCheckpointDir(found)
-    except Exception:  # no local SparkContext: the server-side setting applies
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+        if spark.sparkContext.getCheckpointDir():
+            return current
+    except Exception:  # no local SparkContext handle: the server-side setting applies
+        return current or ""
+    target = current or tempfile.mkdtemp(prefix="recoengine-ckpt-")
+    spark.sparkContext.setCheckpointDir(target)
+    return spark.sparkContext.getCheckpointDir() or target
 
 
 def reused(df):
