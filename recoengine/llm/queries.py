@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import packing, warc
+from recoengine.llm import packing, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -61,3 +61,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op9_toxicity_bigru")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on the labelled documents that are not held out, score all."""
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, net)
