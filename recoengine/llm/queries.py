@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import packing, toxicity, warc
+from recoengine.llm import html_extract, packing, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -69,3 +69,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
     return toxicity.score(docs, net)
+
+
+@register("op2_html_crf")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
