@@ -183,8 +183,10 @@ def write_archive(
     prepare(pages.sparkSession)
     keyed = _keyed(pages, id_col, url_col, html_col)
     revisits = _revisits(keyed, min_revisit_bytes)
-    sample = keyed.select("page_id", "uri", F.substring("payload", 1, sample_bytes).alias("payload")).orderBy(F.xxhash64("page_id"), "page_id", "uri").limit(dictionary_sample)
-    samples = [record_bytes(r.page_id, r.uri, "response", "", len(r.payload), None, date, bytes(r.payload)) for r in sample.collect()]  # at most 4 MB by default
+    # the ids first: the texts of every task's candidates would grow with the number of tasks
+    chosen = keyed.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(dictionary_sample)
+    sample = keyed.select("page_id", "uri", F.substring("payload", 1, sample_bytes).alias("payload")).join(F.broadcast(chosen), "page_id").limit(dictionary_sample)
+    samples = sorted(record_bytes(r.page_id, r.uri, "response", "", len(r.payload), None, date, bytes(r.payload)) for r in sample.collect())  # at most 4 MB by default
     dictionary = train_dictionary(samples, dictionary_bytes)
 
     def frames(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
