@@ -60,3 +60,28 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     off = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     buf = np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None and off[-1] > off[0] else np.zeros(0, np.uint8)
     return buf, off - off[0]
+
+
+def sorted_groups(batches, n_keys: int) -> Iterator[pa.Table]:
+    """The groups of rows that agree in the first ``n_keys`` columns, from
+    batches sorted by these; one group is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        change = np.zeros(n, bool)
+        for k in range(n_keys):
+            column = batch.column(k).to_numpy(zero_copy_only=False)
+            change[1:] |= column[1:] != column[:-1]
+        begin = [0, *np.flatnonzero(change).tolist(), n]
+        for first, end in zip(begin[:-1], begin[1:], strict=True):
+            key = tuple(batch.column(k)[first].as_py() for k in range(n_keys)) if first == 0 or end == n else None
+            if held and (key is None or key != last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(first, end - first))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import html_extract, packing, toxicity, warc
+from recoengine.llm import embed_dedup, html_extract, packing, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -75,3 +75,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op3_embedding_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.9."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
