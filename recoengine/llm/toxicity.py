@@ -103,6 +103,26 @@ def read_words(buf: np.ndarray, off: np.ndarray, s: Settings) -> tuple[Vocabular
     return Vocabulary((distinct % U(s.word_rows)).astype(np.int64), gram, gram_off), place, words.off
 
 
+def read_slices(texts: list[str], s: Settings) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
+    """As :func:`read_words`, a slice of the texts at a time (a word may then
+    stand in the vocabulary several times)."""
+    raw, parts, first, size = [t.encode() for t in texts], [], 0, 0
+    for i, x in enumerate(raw):
+        size += len(x)
+        if size >= SLICE_BYTES >> 1 or i == len(raw) - 1:
+            own = raw[first : i + 1]
+            parts.append(read_words(np.frombuffer(b"".join(own), np.uint8), np.concatenate([[0], np.cumsum([len(y) for y in own])]), s))
+            first, size = i + 1, 0
+    word, gram, gram_off, place, off = [], [], [np.zeros(1, np.int64)], [], [np.zeros(1, np.int64)]
+    for vocabulary, at, own_off in parts:
+        place.append((at + sum(map(len, word))).astype(np.int32))
+        word.append(vocabulary.word)
+        gram.append(vocabulary.gram.astype(np.int32))
+        gram_off.append(vocabulary.gram_off[1:] + gram_off[-1][-1])
+        off.append(own_off[1:] + off[-1][-1])
+    return Vocabulary(np.concatenate(word), np.concatenate(gram), np.concatenate(gram_off)), np.concatenate(place), np.concatenate(off)
+
+
 def windows_of(counts: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word in it, length) of all windows; they overlap by
     window - step words and the last one may be shorter."""
@@ -274,12 +294,10 @@ def train(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Ne
     kinds = [np.flatnonzero(labels == 0), np.flatnonzero(labels == 1)]
     if not len(kinds[0]) or not len(kinds[1]):
         return net
-    raw = [t.encode() for t in texts]
-    buf, off = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-    vocabulary, place, word_off = read_words(buf, off, s)
+    vocabulary, place, word_off = read_slices(texts, s)
     text, first, length = windows_of(np.diff(word_off), s)
     window_off = np.searchsorted(text, np.arange(len(texts) + 1))
-    place = np.append(place, np.zeros(s.window, np.int64))
+    place = np.append(place, np.zeros(s.window, place.dtype))
     rng = np.random.default_rng(s.seed)
     adam = Adam(s.rate)
     squares = {"word": np.full(s.word_rows, 1e-4, np.float32), "gram": np.full(s.gram_rows, 1e-4, np.float32)}
@@ -341,7 +359,7 @@ def train(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Ne
     return net
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 2500, max_chars: int = 50_000, held_out_of: int = 5) -> tuple[list[str], np.ndarray]:
+def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2000, max_chars: int = 30_000, held_out_of: int = 5) -> tuple[list[str], np.ndarray]:
     """At most max_toxic + max_clean labelled texts, chosen by a hash of the
     id, none of which is held out (crc32 of the id as text divisible by
     ``held_out_of``)."""
