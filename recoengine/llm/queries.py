@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import embed_dedup, html_extract, packing, toxicity, warc
+from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -81,3 +81,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at a cosine of 0.9."""
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register("op1_benchmark_decontamination", decontaminate.ORACLE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlaps of all documents with all benchmark items."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_line_template_dedup", line_dedup.ORACLE_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of recurring templates."""
+    out = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True)
+    return out.select("doc_id", "n_lines", "n_removed", "text")
