@@ -10,8 +10,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, toxicity, warc
+from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, substring_dedup, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -94,3 +95,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines of recurring templates."""
     out = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True)
     return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@register("op6_repeated_phrase_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 13-word windows of earlier documents."""
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
