@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, substring_dedup, toxicity, warc
+from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -102,3 +102,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 13-word windows of earlier documents."""
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-byte strings of earlier documents."""
+    out = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
