@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoengine.llm import decontaminate, embed_dedup, html_extract, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
+from recoengine.llm import decontaminate, embed_dedup, html_extract, jaccard_join, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -110,3 +110,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all documents at a Jaccard similarity of 0.8."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
