@@ -188,6 +188,8 @@ class Lookup:
 
 def blobs(buckets: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """(bucket, rows, bytes of the columns one after the other) of each bucket."""
+    if not len(buckets):
+        return
     order = np.argsort(buckets, kind="stable")
     values, begin = np.unique(buckets[order], return_index=True)
     for value, own in zip(values.tolist(), np.split(order, begin[1:]), strict=True):

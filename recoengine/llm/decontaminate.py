@@ -9,8 +9,10 @@ of the documents; every hit is verified by comparing all words of the two
 windows, and windows with at most ``max_substitutions`` differences are
 overlaps.
 
-Positions are exploded and joined inside one generated stage: the benchmark's
-seeds are the broadcast side, and document positions are never shuffled.  The
+The benchmark's seeds and blocks are the broadcast sides, and document
+positions are never shuffled: every position's block is looked up among the
+benchmark's blocks inside one small generated stage (a mask can only hit where
+its first block is known), and seeds are made at the places found.  The
 broadcast is bounded by ``block_rows``: a larger benchmark is joined in
 several blocks of its items, one after the other.  Overlaps are aggregated
 map side first, so a passage that many documents share, or a document full of
@@ -44,17 +46,37 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(text), NOT_A_WORD), ""), lambda w: F.xxhash64(w))
 
 
-def _windows(hashed: DataFrame, window: int, *keep: str) -> DataFrame:
-    """One row per window: its place ``at`` and the text's hashes ``h``."""
-    whole = hashed.filter(F.size("h") >= window)
-    return whole.select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - window)).alias("at"))
+def _block_key(i: Column, size: int) -> Column:
+    """Hash of the block of words from place i on."""
+    return F.xxhash64(*[F.col("h")[i + k] for k in range(size)])
 
 
-def _seeds(window: int) -> Column:
-    """A hash for each mask of the window at ``at``."""
+def _item_seeds(items: DataFrame, window: int) -> DataFrame:
+    """item_id, the window's words, and the seed of each mask, of all windows."""
     size = window // BLOCKS
-    word = lambda i: F.col("h")[F.col("at") + i]
-    return F.array(*[F.xxhash64(F.lit(k), *[word(b * size + i) for b in mask for i in range(size)]) for k, mask in enumerate(MASKS)])
+    whole = items.filter(F.size("h") >= window).select("item_id", "h", F.explode(F.sequence(F.lit(0), F.size("h") - window)).alias("at"))
+    words = whole.select("item_id", F.slice("h", F.col("at") + 1, window).alias("h"))
+    seeds = F.array(*[F.xxhash64(F.lit(k), *[_block_key(F.lit(b * size), size) for b in mask]) for k, mask in enumerate(MASKS)])
+    return words.select("item_id", F.col("h").alias("words"), F.explode(seeds).alias("seed"))
+
+
+def _document_seeds(texts: DataFrame, blocks: DataFrame, window: int) -> DataFrame:
+    """doc_id, the window's place and words, and its seeds.  A seed can only
+    hit if its mask's first block is one of the benchmark's, so blocks are
+    looked up at every place first; seeds are made where one is found."""
+    size = window // BLOCKS
+    back = (BLOCKS - 2) * size  # the farthest that a mask's first block lies from its window's beginning
+    places = texts.filter(F.size("h") >= window).select("doc_id", "h", F.explode(F.sequence(F.lit(0), F.size("h") - size)).alias("i"))
+    found = places.withColumn("block", _block_key(F.col("i"), size)).join(F.broadcast(blocks), "block", "left_semi")
+    low = F.greatest(F.col("i") - back, F.lit(0))
+    near = found.select("doc_id", "i", low.alias("low"), F.size("h").alias("n"), F.slice("h", low + 1, back + window).alias("h"))
+    seeds = []
+    for k, mask in enumerate(MASKS):
+        at = F.col("i") - mask[0] * size
+        own = at - F.col("low")
+        seed = F.xxhash64(F.lit(k), *[_block_key(own + b * size, size) for b in mask])
+        seeds.append(F.when((at >= 0) & (at + window <= F.col("n")), F.struct(at.alias("at"), F.slice("h", own + 1, window).alias("h"), seed.alias("seed"))))
+    return near.select("doc_id", F.inline(F.filter(F.array(*seeds), lambda x: x.isNotNull())))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 12, max_substitutions: int = 2, block_rows: int = 300_000) -> DataFrame:
@@ -71,8 +93,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 12, max_substi
     found = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == block) if blocks > 1 else items
-        part = _windows(part, window, "item_id").select("item_id", F.slice("h", F.col("at") + 1, window).alias("words"), F.explode(_seeds(window)).alias("seed"))
-        hits = _windows(texts, window, "doc_id").select("doc_id", "h", "at", F.explode(_seeds(window)).alias("seed")).join(F.broadcast(part), "seed")
+        seeds = _item_seeds(part, window)
+        first = part.filter(F.size("h") >= window).select("h", F.explode(F.sequence(F.lit(0), F.size("h") - window // BLOCKS)).alias("i"))
+        keys = first.select(_block_key(F.col("i"), window // BLOCKS).alias("block")).distinct()
+        hits = _document_seeds(texts, keys, window).join(F.broadcast(seeds), "seed")
         found = _verified(hits, window, max_substitutions) if found is None else found.unionByName(_verified(hits, window, max_substitutions))
     out = found.groupBy("doc_id", "item_id").agg(
         (F.sum("share") / len(MASKS)).cast("long").alias("n_windows"),
@@ -85,7 +109,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 12, max_substi
 
 def _verified(hits: DataFrame, window: int, max_substitutions: int) -> DataFrame:
     size = window // BLOCKS
-    same = [F.col("h")[F.col("at") + i] == F.col("words")[i] for i in range(window)]
+    same = [F.col("h")[i] == F.col("words")[i] for i in range(window)]
     n_same = functools.reduce(operator.add, [x.cast("int") for x in same])
     whole = functools.reduce(operator.add, [functools.reduce(operator.and_, same[b * size : (b + 1) * size]).cast("int") for b in range(BLOCKS)])
     # a pair of windows is hit by as many masks as it has pairs of whole blocks; the shares of one pair add up to the number of masks
