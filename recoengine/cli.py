@@ -28,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="recoengine", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--in-format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--out-format", default="parquet", choices=["parquet", "csv"])
+    p.add_argument("--files", type=int, default=0, help="number of output files (0: left to Spark)")
+    p.add_argument("--single-line-csv", action="store_true", help="CSV input without line breaks in fields (can be split)")
     sub = p.add_subparsers(dest="stage", required=True)
 
     s = sub.add_parser("merge")
@@ -57,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--input", required=True)
     s.add_argument("--catalog", required=True, help="table with columns title, description")
     s.add_argument("--out", required=True)
-    s.add_argument("--top", type=int, default=400)
+    s.add_argument("--top", type=int, default=0, help="only the most popular titles (0: all)")
 
     s = sub.add_parser("recommend")
     s.add_argument("--input", required=True)
@@ -82,10 +84,10 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     apply_runtime_defaults(spark)
 
     def read(path):
-        return io.read_table(spark, path, args.in_format)
+        return io.read_table(spark, path, args.in_format, multi_line=not args.single_line_csv)
 
     def write(df, path):
-        io.write_table(df, path, args.out_format)
+        io.write_table(df, path, args.out_format, files=args.files or None)
 
     if args.stage == "merge":
         from recoengine.plans.stages import merge_stage
@@ -106,7 +108,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     elif args.stage == "enrich":
         from recoengine.operators.enrich import enrich_books
 
-        write(enrich_books(read(args.input), read(args.catalog), args.top), args.out)
+        write(enrich_books(read(args.input), read(args.catalog), args.top or None), args.out)
     elif args.stage == "recommend":
         from recoengine.operators.cf import recommend_for_users
 

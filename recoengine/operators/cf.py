@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from recoengine.operators.profile import user_activity
 from recoengine.operators.ranking import dense_index, first_per_key, top_n_per_group
-from recoengine.session import ensure_checkpoint_dir, reused
+from recoengine.operators.skew import split_join
+from recoengine.session import ensure_checkpoint_dir
 
 
 def index_ids(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -204,7 +205,8 @@ def boosted_candidates(
 ) -> DataFrame:
     """CF-8 before the top-N cut: every unseen candidate with its boosts."""
     unseen = exclude_seen(cands, interactions, (user_col, item_col))
-    with_meta = unseen.join(meta, item_col, "left")
+    # an item that is a candidate for most users is split by AQE
+    with_meta = split_join(unseen, meta, [item_col], "left")
     for col, boost, hit in (("author", author_boost, "author_hit"), ("categories", genre_boost, "genre_hit")):
         if col in meta.columns and col in interactions.columns:
             prefs = preferences(interactions, col, min_label, n_prefs, user_col, label_col).select(
@@ -236,12 +238,45 @@ def candidates(model: ALSModel, users: DataFrame | None = None, k: int = 100) ->
     )
 
 
+def unseen_candidates(model: ALSModel, history: DataFrame, users: DataFrame | None = None, k: int = 100) -> DataFrame:
+    """CF-6 with JOI-6: each user's top ``k`` items among those not seen.
+
+    A user who has seen ``s`` items finds ``k`` unseen ones among the top
+    ``k + s``.  Users are dealt by ``s`` into classes with growing bounds
+    (0, 1-4, 5-16, ...), and each class asks the model for ``k`` plus its
+    bound, so a reader of thousands of books costs others nothing.  One small
+    job finds the largest ``s``.  ``history`` is ``(user_index, book_index)``.
+    """
+    seen = history.select("user_index", "book_index").distinct()
+    n_seen = seen.groupBy("user_index").agg(F.count(F.lit(1)).alias("n_seen"))
+    known = model.userFactors.select(F.col("id").alias("user_index"))
+    if users is not None:
+        known = known.join(users.select("user_index").distinct(), "user_index", "left_semi")
+    counted = known.join(n_seen, "user_index", "left").select("user_index", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
+    most = counted.agg(F.max("n_seen")).first()[0]
+    if most is None:
+        return candidates(model, known, k)
+    bounds = [0]
+    while bounds[-1] < most:
+        bounds.append(max(4, 4 * bounds[-1]))
+    out = None
+    for low, bound in zip([-1, *bounds[:-1]], bounds):
+        subset = counted.filter((F.col("n_seen") > low) & (F.col("n_seen") <= bound)).select("user_index")
+        part = candidates(model, subset, k + bound)
+        out = part if out is None else out.unionByName(part)
+    order = [F.col("cf_score").desc(), F.col("book_index").asc()]
+    return top_n_per_group(exclude_seen(out, seen, ("user_index", "book_index")), ["user_index"], order, k)
+
+
 def prepare_labels(df: DataFrame) -> DataFrame:
-    """CF-10 input cleaning: label choice (PRJ-3), light metadata cleaning
-    (PRJ-12), essentials (FLT-2)."""
+    """CF-10 input cleaning: label choice (PRJ-3) as a number (junk is NULL,
+    PRJ-9, so CSV input needs no schema), light metadata cleaning (PRJ-12),
+    essentials (FLT-2)."""
+    from recoengine.functions.numeric import to_float
     from recoengine.operators.columns import choose_label, unbracket
 
     out = choose_label(df)
+    out = out.withColumn("label_rating", to_float("label_rating"))
     if "authors" in out.columns and "author" not in out.columns:
         out = out.withColumnRenamed("authors", "author")
     out = unbracket(out, "author", 150)
@@ -276,6 +311,9 @@ def recommend_for_users(
     ensure_checkpoint_dir(df.sparkSession)
     labeled = prepared.select(*wanted).checkpoint(eager=True)
     indexed, user_idx, item_idx = add_indexes(labeled)
+    # read by the model's jobs, the metadata, the seen set and both preference
+    # tables; the files are removed with the frame (cleanCheckpoints)
+    indexed = indexed.checkpoint(eager=True)
     train, test = split(indexed, train_fraction, params.seed)
     model = train_als(train.select("user_index", "book_index", "label_rating"), params)
     errors = rating_errors(predict(model, test))
@@ -284,13 +322,12 @@ def recommend_for_users(
     # preferences), and map back to the string ids only after the top-n cut:
     # k/n times fewer rows go through the two id joins.  Exact score ties are
     # broken by item index (frequency order) here, not by title.
-    cands = candidates(model, subset, k)
-    indexed = reused(indexed)
     meta = item_metadata(indexed, item_col="book_index")
     # Seen items and preferences are per user: for a user subset, only the
     # subset's own ratings are needed (a semi-join AQE can broadcast), so
     # serving one user does not shuffle everyone's ratings.
     history = indexed if subset is None else indexed.join(subset, "user_index", "left_semi")
+    cands = unseen_candidates(model, history, subset, k)
     ranked = rerank(
         cands, history, meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index"
     )

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoengine.operators.ranking import first_per_key
-from recoengine.operators.skew import DEFAULT_HOT_ROWS, join_hot_split
-from recoengine.session import reused
+from recoengine.operators.skew import split_join
 
 
 def latest_order(df: DataFrame, time_col: str = "review_time", rating_col: str = "rating", tie_breakers: Sequence[str] = ()) -> list[Column]:
@@ -46,26 +45,22 @@ def thin_sparse(
     min_item: int = 3,
     user_col: str = "user_id",
     item_col: str = "book_title",
-    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """THN-1: users with at least ``min_user`` rows, then items with at least
     ``min_item`` rows counted *after* the user filter.  One pass, not a
     fixpoint, so a user may end below ``min_user``.
 
-    Counts are partial (map-side) aggregates.  The filters are semi-joins of
-    the rows against the qualified keys: keys with at least ``hot_rows`` rows
-    (a user or item holding a large share of the data) are matched by
-    broadcast, the rest by a shuffle join that no longer contains them
-    (:func:`recoengine.operators.skew.join_hot_split`).  The input and the
-    user-filtered frame are each read more than once, so both are persisted
-    (:func:`recoengine.session.reused`).
+    Counts are partial (map-side) aggregates over the two id columns, and the
+    filters are semi-joins that AQE can split on a user or item holding a
+    large share of the rows (:func:`recoengine.operators.skew.split_join`).
+    Full rows are joined once per filter and never counted or persisted.
     """
-    df = reused(df)
-    user_counts = df.groupBy(user_col).count()
-    users = user_counts.filter(F.col("count") >= min_user).select(user_col)
-    hot_users = user_counts.filter(F.col("count") >= max(hot_rows, min_user)).select(user_col)
-    kept = reused(join_hot_split(df, users, [user_col], hot_users, "left_semi"))
-    item_counts = kept.groupBy(item_col).count()
-    items = item_counts.filter(F.col("count") >= min_item).select(item_col)
-    hot_items = item_counts.filter(F.col("count") >= max(hot_rows, min_item)).select(item_col)
-    return join_hot_split(kept, items, [item_col], hot_items, "left_semi")
+    by_user = thinned_users(df.select(user_col, item_col), min_user, user_col)
+    items = by_user.groupBy(item_col).count().filter(F.col("count") >= min_item).select(item_col)
+    return split_join(thinned_users(df, min_user, user_col), items, [item_col], "left_semi")
+
+
+def thinned_users(df: DataFrame, min_user: int, user_col: str = "user_id") -> DataFrame:
+    """The first half of THN-1: rows of users with at least ``min_user`` rows."""
+    users = df.groupBy(user_col).count().filter(F.col("count") >= min_user).select(user_col)
+    return split_join(df, users, [user_col], "left_semi")

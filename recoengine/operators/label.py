@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.functions.numeric import scale_sentiment
+from recoengine.functions.numeric import scale_sentiment, to_float
 
 
 def blend_rating(
@@ -24,8 +24,8 @@ def blend_rating(
 
     Inputs are read as float first, as the label stage stores them.
     """
-    r = F.col(rating_col).cast("float")
-    s = F.col(sentiment_col).cast("float")
+    r = to_float(rating_col)
+    s = to_float(sentiment_col)
     scaled = F.when(s.isNotNull(), scale_sentiment(s))
     blended = F.when(scaled.isNotNull(), r * F.lit(w_rating) + scaled * F.lit(w_sent)).otherwise(r)
     clamped = F.when(blended < lo, F.lit(lo)).when(blended > hi, F.lit(hi)).otherwise(blended)

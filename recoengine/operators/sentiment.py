@@ -46,7 +46,7 @@ from recoengine.functions.constants import (
     NORMALIZATION_ALPHA,
 )
 from recoengine.functions.text import word_tokens
-from recoengine.operators.skew import DEFAULT_HOT_ROWS, left_join_hot_salted
+from recoengine.operators.skew import split_join
 from recoengine.session import reused
 
 LOOKBACK = len(BOOSTER_DECAY)
@@ -96,7 +96,6 @@ def score_sentiment(
     booster_decay: Sequence[float] = BOOSTER_DECAY,
     alpha: float = NORMALIZATION_ALPHA,
     reuse_input: bool = False,
-    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """SEN-1/2/3: append ``out`` (double in [-1, 1]) to ``df``.
 
@@ -115,7 +114,6 @@ def score_sentiment(
     if reuse_input:
         df = reused(df)  # read twice: tokens, and the join-back
     digest = None
-    hot = None
     if keys is None:
         digest = "__text_md5"
         df = df.withColumn(digest, F.md5(F.col(text_col)))
@@ -123,12 +121,9 @@ def score_sentiment(
         per_text = (
             df.filter(F.col(digest).isNotNull())
             .groupBy(digest)
-            .agg(F.first(text_col).alias(text_col), F.count(F.lit(1)).alias("__n"))
+            .agg(F.first(text_col).alias(text_col))
         )
         source = per_text.select(digest, text_col)
-        # A text repeated on a large share of the rows is joined back by
-        # broadcast (see recoengine.operators.skew).
-        hot = per_text.filter(F.col("__n") >= hot_rows).select(digest)
     else:
         keys = list(keys)
         source = df
@@ -147,6 +142,8 @@ def score_sentiment(
     word = F.when(negated, adjusted * F.lit(negation_scalar)).otherwise(adjusted)
     sums = hits.groupBy(*keys).agg(F.sum(word).alias("__s"))
     s = F.col("__s")
-    scored = left_join_hot_salted(df, sums, digest, hot) if hot is not None else df.join(sums, keys, "left")
+    # A text (also an empty or NULL one) may stand on a large share of the
+    # rows; row keys cannot, and their join shares the input's partitioning.
+    scored = split_join(df, sums, [digest], "left") if digest else df.join(sums, keys, "left")
     scored = scored.withColumn(out, F.coalesce(s / F.sqrt(s * s + F.lit(alpha)), F.lit(0.0))).drop("__s")
     return scored.drop(digest) if digest else scored

@@ -1,64 +1,30 @@
-"""Hot keys: join a big frame on a key that one value may dominate.
-
-AQE splits skewed partitions only when both join inputs are plain shuffles.
-Joining rows back to an aggregate of the same key (qualified users, per-text
-scores) has an aggregate on one side, so a key holding a third of all rows
-would land in one task.  The split here is exact and explicit:
-
-* hot keys, those with at least ``hot_rows`` rows, number at most
-  ``total_rows / hot_rows`` (a proven bound), so they and their right-side
-  rows (one per key) are broadcast, and their big-side rows join without a
-  shuffle;
-* every other row is joined by the usual shuffle join after a broadcast
-  anti-join has removed the hot rows, so no shuffle key holds more than
-  ``hot_rows`` rows.
+"""Hot keys: join a big frame to one row per key when a key may hold a large
+share of the rows.
+
+AQE splits a skewed partition only when both inputs of a sort-merge join are
+plain shuffles made for that join.  The right side here is an aggregate or a
+window on the same key, whose partitioning Spark would reuse, and a key that
+holds a third of all rows would land in one task.  Joining on a wrapped key
+(a struct of the key columns) makes Spark shuffle both sides for the join, so
+AQE can split the big side's hot partitions (also those of rows whose key is
+NULL); the right side, one thin row per key, is shuffled once more.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 5_000_000
-
 
-def join_hot_split(big: DataFrame, right: DataFrame, keys: Sequence[str], hot_keys: DataFrame, how: str) -> DataFrame:
-    """``big.join(right, keys, how)`` with the rows of ``hot_keys`` joined by
-    broadcast.  ``right`` must hold at most one row per key (so its hot part
-    is bounded like ``hot_keys``); ``how`` is ``left_semi``, ``left_anti``,
-    ``left`` or ``inner``."""
+def split_join(big: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``big.join(right, keys, how)`` that AQE can split on hot keys; ``how``
+    is ``left_semi``, ``left_anti``, ``left`` or ``inner``."""
     keys = list(keys)
-    hot = F.broadcast(hot_keys.select(*keys).distinct())
-    big_hot = big.join(hot, keys, "left_semi")
-    big_cold = big.join(hot, keys, "left_anti")
-    right_hot = F.broadcast(right.join(hot, keys, "left_semi"))
-    return big_hot.join(right_hot, keys, how).unionByName(big_cold.join(right, keys, how))
-
-
-def left_join_hot_salted(big: DataFrame, right: DataFrame, key: str, hot_keys: DataFrame) -> DataFrame:
-    """``big.join(right, key, "left")`` in one pass over ``big`` when a few
-    key values are hot.  ``right`` holds at most one row per key.
-
-    The hot keys' right-side rows (bounded like ``hot_keys``) are broadcast
-    and attached first (a narrow join).  A hot row's join key is then
-    rewritten to ``key#partition``, which matches nothing on the remaining
-    (cold) right side and spreads those rows over the shuffle; all other
-    rows take the usual shuffle join.  Unlike :func:`join_hot_split`, ``big``
-    is read once, which matters when it is expensive to recompute.
-    """
-    values = [c for c in right.columns if c != key]
-    hot = F.broadcast(hot_keys.select(key).distinct())
-    right_hot = F.broadcast(
-        right.join(hot, key, "left_semi").select(key, *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__is_hot"))
-    )
-    cold = right.join(hot, key, "left_anti").withColumnRenamed(key, "__join_key")
-    tagged = big.join(right_hot, key, "left")
-    join_key = F.when(
-        F.col("__is_hot"), F.concat(F.col(key).cast("string"), F.lit("#"), F.spark_partition_id().cast("string"))
-    ).otherwise(F.col(key).cast("string"))
-    cold = cold.withColumn("__join_key", F.col("__join_key").cast("string"))
-    out = tagged.withColumn("__join_key", join_key).join(cold, "__join_key", "left")
-    out = out.withColumns({c: F.coalesce(F.col(f"__hot_{c}"), F.col(c)) for c in values})
-    return out.drop("__join_key", "__is_hot", *[f"__hot_{c}" for c in values])
+    present = functools.reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
+    wrapped = F.when(present, F.struct(*[F.col(k) for k in keys]))
+    r = right.select(wrapped.alias("__split_key"), *[c for c in right.columns if c not in keys])
+    return big.withColumn("__split_key", wrapped).join(r, "__split_key", how).drop("__split_key")

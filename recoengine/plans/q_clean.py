@@ -110,7 +110,8 @@ def agg_8(spark, d):
 from recoengine.functions.numeric import to_float  # noqa: E402
 from recoengine.functions.text import similarity_text, title_key, title_key_strict  # noqa: E402
 from recoengine.operators import columns as C  # noqa: E402
-from recoengine.operators.ranking import first_per_key, top_n_per_group  # noqa: E402
+from recoengine.operators.cf import user_history  # noqa: E402
+from recoengine.operators.ranking import first_per_key  # noqa: E402
 from recoengine.plans.stages import stage_funnel  # noqa: E402
 
 
@@ -298,8 +299,8 @@ def set_2(spark, d):
 )
 def top_2(spark, d):
     df = deduped(spark, d)
-    out = top_n_per_group(df, ["user_id"], [F.col("rating").desc_nulls_last(), F.col("book_title").asc()], 15, rank_col="rnk")
-    return out.select("user_id", "rnk", "book_title", F.col("rating").cast("double").alias("rating"))
+    out = user_history(df, n=15, label_col="rating")
+    return out.select("user_id", F.col("rank").alias("rnk"), "book_title", F.col("rating").cast("double").alias("rating"))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -479,7 +480,7 @@ def src_3(spark, d):
 )
 def src_4(spark, d):
     """SRC-4: an ordered row cap (the cap is the feature)."""
-    order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
+    order = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")
     return io.cap_rows(R.interactions(spark, d), 1000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")
 
 
@@ -490,8 +491,8 @@ def src_4(spark, d):
     ("interactions",),
 )
 def src_4_large(spark, d):
-    """SRC-4 above the small-cap threshold: distributed rank, no single-task top-k."""
-    order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")]
+    """SRC-4 with a larger cap: the same path."""
+    order = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "user_id", "book_title")
     return io.cap_rows(R.interactions(spark, d), 20000, order).select("user_id", "book_title", "l_orderkey", "l_linenumber", "l_suppkey")
 
 

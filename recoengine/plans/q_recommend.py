@@ -297,7 +297,7 @@ from recoengine.operators import enrich  # noqa: E402
 STRICT = "trim(regexp_replace(lower(regexp_replace({c}, '[^a-zA-Z0-9\\s]', '', 'g')), '\\s+', ' ', 'g'))"
 ENR_SQL = f"""
     pop AS (SELECT book_title, count(*) AS review_count, avg(CAST(rating AS DOUBLE)) AS avg_rating FROM rated_books
-            GROUP BY book_title ORDER BY review_count DESC, avg_rating DESC NULLS LAST, book_title ASC LIMIT 400),
+            GROUP BY book_title),
     cand AS (SELECT *, {STRICT.format(c='book_title')} AS clean_title FROM (
                SELECT DISTINCT r.book_title, p.review_count, p.avg_rating, r.description
                FROM rated_books r JOIN pop p ON r.book_title = p.book_title WHERE r.book_title IS NOT NULL)),
@@ -315,7 +315,7 @@ ENR_SQL = f"""
 
 
 def _enr_books(spark, d):
-    return enrich.enrichment_candidates(R.rated_books(spark, d), 400)
+    return enrich.enrichment_candidates(R.rated_books(spark, d))
 
 
 @register(
@@ -345,7 +345,7 @@ def enr_2(spark, d):
     ("rated_books", "catalog"),
 )
 def enr_3(spark, d):
-    return enrich.enrich_books(R.rated_books(spark, d), R.catalog(spark, d), 400)
+    return enrich.enrich_books(R.rated_books(spark, d), R.catalog(spark, d))
 
 
 # ------------------------------------------------------------- end-to-end flows
@@ -381,10 +381,10 @@ ENRICHED_SIMILAR_SQL = (
 
 @register("CON_6_7_on_enriched_books", ENRICHED_SIMILAR_SQL, ("rated_books", "catalog"))
 def con_6_enriched(spark, d):
-    """The application's own chain: ENR-1..3 (top-400 books, catalogue
+    """The application's own chain: ENR-1..3 (all books, catalogue
     descriptions) → CON-1..7, queried with the three most popular titles."""
     rated = R.rated_books(spark, d)
-    books = enrich.enrich_books(rated, R.catalog(spark, d), 400).withColumnRenamed("final_description", "description")
+    books = enrich.enrich_books(rated, R.catalog(spark, d)).withColumnRenamed("final_description", "description")
     queries = enrich.top_popular(rated, 3).select(F.col("book_title").alias("query"))
     s = content.similar_items(content.item_texts(books), queries, k=20)
     return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))

@@ -54,14 +54,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; set a local one only when none is set.
-
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder (HDFS,
-    object store); Spark applies it at start-up.  Falling back to a
-    machine-local temporary folder is for local runs and tests only, where
-    driver and executors share one file system.  The folder is set at most
-    once per context: ``setCheckpointDir`` creates a fresh sub-folder each
-    time it is called.
+    """The session's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    On a cluster it must be set (HDFS, object store); this raises if it is
+    not, because a machine-local folder is out of the other executors' reach.
+    Only a local master, where driver and executors are one process, gets a
+    temporary folder of its own.  The folder is set at most once per context:
+    ``setCheckpointDir`` creates a fresh sub-folder each time it is called.
     """
     current = checkpoint_dir(spark)
     try:
@@ -69,9 +68,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
     except Exception:  # no local SparkContext handle: the server-side setting applies
         return current or ""
-    target = current or tempfile.mkdtemp(prefix="recoengine-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir() or target
+    if not current:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="recoengine-ckpt-")
+    spark.sparkContext.setCheckpointDir(current)
+    return spark.sparkContext.getCheckpointDir() or current
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local[...]``)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def reused(df):

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 # The CSV writer trims values unless told otherwise.
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -23,33 +24,62 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """SRC-1: CSV with header and explicit schema."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+def csv_options(multi_line: bool = True, mode: str = "PERMISSIVE") -> dict[str, str]:
+    """Reader options.  ``multi_line`` keeps quoted line breaks whole, at the
+    price of one task per file; files without such breaks (also those that
+    :func:`write_csv` makes with ``multi_line=False``) can be split.  ``mode``
+    is Spark's: ``PERMISSIVE`` keeps going over malformed records (missing
+    fields are NULL), ``DROPMALFORMED`` drops them, ``FAILFAST`` stops."""
+    return {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "mode": mode}
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True, mode: str = "PERMISSIVE", keep_corrupt: bool = False
+) -> DataFrame:
+    """SRC-1: CSV with header and explicit schema.  With ``keep_corrupt`` the
+    malformed records stand in ``_corrupt_record`` (NULL for good rows), where
+    :func:`corrupt_count` counts them."""
+    if keep_corrupt:
+        schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
+    options = csv_options(multi_line, mode)
+    if keep_corrupt:
+        options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
+    return spark.read.options(**options).schema(schema).csv(path)
+
+
+def corrupt_count(df: DataFrame) -> DataFrame:
+    """Rows read and malformed records among them, of a frame read with
+    ``keep_corrupt``."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT_COLUMN).alias("n_corrupt"))
+
+
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """SRC-1 for dumps of unknown layout: header names, every column a
     string (no inference pass over the data); stages cast what they use
     with ``try_cast``."""
-    return spark.read.options(**CSV_OPTIONS).csv(path)
+    return spark.read.options(**csv_options(multi_line, mode)).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = True) -> DataFrame:
     """Parquet, or header CSV as strings."""
     if fmt == "parquet":
         return read_parquet(spark, path)
     if fmt == "csv":
-        return read_csv_strings(spark, path)
+        return read_csv_strings(spark, path, multi_line)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", balance: bool = True) -> None:
-    """Parquet or CSV with header, file sizes left to AQE (REBALANCE)."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", balance: bool = True, files: int | None = None) -> None:
+    """Parquet or CSV with header, file sizes left to AQE (REBALANCE) unless
+    a file count is given."""
     if fmt == "parquet":
-        write_parquet(df, path, balance=balance)
+        write_parquet(df, path, files=files, balance=balance)
     elif fmt == "csv":
-        write_csv(df, path, balance=balance)
+        write_csv(df, path, files=files, balance=balance)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
 
@@ -83,25 +113,29 @@ def read_first_available(
     raise FileNotFoundError(f"none of {[p for _, p in sources]} exists")
 
 
-def cap_rows(df: DataFrame, n: int | None, order: Sequence[Column], small_cap: int = 10_000) -> DataFrame:
-    """SRC-4: keep the first ``n`` rows under a total order (0/None = off).
+def cap_rows(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
+    """SRC-4: keep the first ``n`` rows in ascending order of the columns
+    ``order``, NULLs last (0/None = off).
 
-    The cap is the feature (a bounded extract).  Up to ``small_cap`` rows it
-    is an ordered limit (``TakeOrderedAndProject``: each task keeps ``n``
-    rows).  Above that, holding ``n`` rows per task and merging them in one
-    task does not scale (the original cap is 1,000,000), so rows are ranked
-    by a distributed range sort with per-partition offsets and filtered by
-    position.
+    The cap is the feature (a bounded extract).  Only the ordering columns are
+    ranked (a distributed range sort with per-partition offsets, whatever
+    ``n``) to find the ``n``-th key; the rows below it are then kept by a plain
+    filter, and of rows with that very key as many as are left to keep.  Finding
+    the key runs a job when called and brings one row to the driver.
     """
     if not n:
         return df
-    if n <= small_cap:
-        return df.orderBy(*order).limit(n)
-    from pyspark.sql import functions as F
-
     from recoengine.operators.ranking import dense_index
 
-    return dense_index(df, order, "__pos").filter(F.col("__pos") < n).drop("__pos")
+    keys = [F.struct(F.col(c).isNull().alias("empty"), F.col(c).alias("value")).alias(f"k{i}") for i, c in enumerate(order)]
+    key = F.struct(*keys)
+    ranked = dense_index(df.select(key.alias("key")), [F.col("key").asc()], "__pos")
+    last = ranked.filter(F.col("__pos") == n - 1).select("key")
+    below = ranked.filter(F.col("key") == last.scalar()).agg(F.min("__pos")).first()[0]
+    if below is None:
+        return df  # fewer than n rows
+    ties = df.filter(key == last.scalar()).limit(int(n - below))
+    return df.filter(key < last.scalar()).unionByName(ties)
 
 
 def _layout(df: DataFrame, files: int | None, balance: bool, shuffle: bool = True) -> DataFrame:

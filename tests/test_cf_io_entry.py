@@ -109,15 +109,19 @@ def test_entry_contract(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_cap_rows_large_cap_is_distributed_and_exact(spark):
+def test_cap_rows_is_distributed_and_exact(spark):
     from pyspark.sql import functions as F
 
-    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k")).repartition(7)
-    small = io.cap_rows(df, 1200, [F.col("k").asc()])
-    big = io.cap_rows(df, 1200, [F.col("k").asc()], small_cap=100)
-    assert sorted(r.k for r in small.collect()) == list(range(1200))
-    assert sorted(r.k for r in big.collect()) == list(range(1200))
-    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k"), F.lit("x").alias("v")).repartition(7)
+    for n in (1, 1200, 4999, 5000, 6000):
+        out = io.cap_rows(df, n, ["k"])
+        assert sorted(r.k for r in out.collect()) == list(range(min(n, 5000)))
+        assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
+    ties = spark.createDataFrame([(i // 10, None if i % 4 else i) for i in range(100)], "a long, b long")
+    for n in (5, 7, 33, 100):
+        got = io.cap_rows(ties, n, ["a", "b"]).collect()
+        expected = sorted(((i // 10, None if i % 4 else i) for i in range(100)), key=lambda r: (r[0], r[1] is None, r[1] or 0))[:n]
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
 
 
 def test_user_subset_equals_all_users_filtered(spark):
