@@ -28,10 +28,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct())
     labels = edges.select(F.col("hi").alias("node")).union(edges.select("lo")).distinct().withColumn("component", F.col("node"))
     while not edges.isEmpty():
-        hooks = cut(_jump(cut(_jump(cut(edges.groupBy("hi").agg(F.min("lo").alias("to")))))))
+        hooks = cut(_jump(_jump(cut(edges.groupBy("hi").agg(F.min("lo").alias("to"))))))
         h, k, e = hooks.alias("h"), hooks.alias("k"), edges.alias("e")
         moved = e.join(h, F.col("e.hi") == F.col("h.hi")).join(k, F.col("e.lo") == F.col("k.hi"), "left")
         moved = moved.select(F.col("h.to").alias("a"), F.coalesce("k.to", "e.lo").alias("b"))
         edges = cut(moved.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct())
-        labels = cut(labels.join(hooks, F.col("component") == F.col("hi"), "left").select("node", F.coalesce("to", "component").alias("component")))
-    return labels
+        labels = labels.join(hooks, F.col("component") == F.col("hi"), "left").select("node", F.coalesce("to", "component").alias("component"))
+    return cut(labels)

@@ -1,6 +1,8 @@
 """Texts dealt into groups by content, and keys that recur across texts.
 
-A group is a bounded share of the texts (``group_bytes`` on average).  Equal
+A group is a bounded share of the texts: its mean size grows with the root of
+the corpus between 4 and 64 MiB (``group_bytes`` sets it), so that both the groups and
+the cells that groups send to buckets stay few.  Several groups may share a partition.  Equal
 texts fall into one group, where one of them stands for all; the further
 copies of a text with very many of them are set apart before the shuffle.  The
 shuffled texts are used by several steps of one plan, which share the exchange.
@@ -14,6 +16,7 @@ full afterwards.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -24,7 +27,10 @@ from pyspark.sql import functions as F
 
 from recoengine.llm._util import cut, prepare, text_bytes, text_slices
 
-GROUP_BYTES = 16 << 20
+LEAST_GROUP, MOST_GROUP = 4 << 20, 64 << 20
+MOST_PARTITIONS = 20_000
+#: Text bytes whose keys a bucket compares, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 256 << 20, 48
 SLICE_BYTES = 1 << 20
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id: larger than all others
 MOST_HOT = 1000
@@ -34,21 +40,23 @@ MOST_HOT = 1000
 class Grouped:
     texts: DataFrame  # grp, doc_id, text; dealt by grp
     copies: DataFrame  # doc_id, first, text: further copies of the texts with very many
-    n_groups: int
+    n_buckets: int
 
 
-def group_texts(docs: DataFrame, group_bytes: int = GROUP_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Grouped:
+def group_texts(docs: DataFrame, group_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> Grouped:
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    group_bytes = group_bytes or min(MOST_GROUP, max(LEAST_GROUP, math.isqrt(size << 14)))
     groups = max(1, -(-size // group_bytes))
+    buckets = min(groups, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
     keyed = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text"), "k3": F.octet_length("text")})
     # more than n / MOST_HOT copies each: at most MOST_HOT texts, whose numbers are broadcast
     hot = keyed.groupBy("k1", "k2", "k3").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter((F.col("n") > max(64, n // MOST_HOT)) & F.col("first").isNotNull())
     marked = keyed.join(F.broadcast(cut(hot.drop("n"))), ["k1", "k2", "k3"], "left")
     further = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))
     texts = marked.filter(~further).select(F.pmod("k1", F.lit(groups)).cast("int").alias("grp"), "doc_id", "text")
-    return Grouped(texts.repartition(groups, "grp"), marked.filter(further).select("doc_id", "first", "text"), groups)
+    return Grouped(texts.repartition(min(groups, MOST_PARTITIONS), "grp"), marked.filter(further).select("doc_id", "first", "text"), buckets)
 
 
 @dataclass

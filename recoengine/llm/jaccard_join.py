@@ -238,7 +238,7 @@ def _candidates(docs: DataFrame, shingle: int, rule: Rule, id_col: str, text_col
     """doc_id, the least id of the text and the size of the set of every row; of one row of
     each text that may link also the set and its rare prefix shingles."""
     grouped = group_texts(docs, id_col=id_col, text_col=text_col)
-    buckets = grouped.n_groups
+    buckets = grouped.n_buckets
 
     def prefixes(values: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = np.diff(off)

@@ -103,7 +103,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, phrase: int = 5, id_col: s
     """doc_id, n_words, n_removed and kept (the words that stay, joined by one
     space) of every document."""
     grouped = group_texts(docs, id_col=id_col, text_col=text_col)
-    buckets = grouped.n_groups
+    buckets = grouped.n_buckets
 
     def keys_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words = Words(buf, off)

@@ -178,7 +178,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
     stay) of every document."""
     shape = Layout(length, gram)
     grouped: Grouped = group_texts(docs, id_col=id_col, text_col=text_col)
-    buckets = grouped.n_groups
+    buckets = grouped.n_buckets
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     splitters = sampled_splitters(plain, plain.count(), buckets, shape, sample_docs)
 
