@@ -8,7 +8,7 @@ Steps of one plan over the grouped texts (:mod:`recoengine.llm._groups`):
    choose.  Phrases chosen by two texts are confirmed as recurring by their hashes
    in buckets, each group's phrases once.
 2. Each group is a shard: its recurring phrases are compiled into an
-   Aho-Corasick automaton (pyahocorasick, over word numbers), and all texts of
+   Aho-Corasick automaton (pyahocorasick, over numbered words), and all texts of
    the group are streamed through it to locate every occurrence.
    A phrase goes to the shards that hold it and to no others, so the
    automata stay within a group's size however many passages the corpus has.
@@ -31,6 +31,7 @@ columns are not read.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame
 from recoengine.llm._groups import LAST_ID, Distinct, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
 from recoengine.llm._words import LETTERS, Words, chosen, inside_texts, shingle_hashes
 
+LETTERS_A_WORD = 2
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
 
 
@@ -79,16 +81,26 @@ def occurrences(words: np.ndarray, off: np.ndarray, starts: np.ndarray, phrase:
         return np.zeros(0, np.int64)
     import ahocorasick
 
-    numbers = np.unique(words, return_inverse=True)[1].tolist()
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for p in starts.tolist():
-        automaton.add_word(tuple(numbers[p : p + phrase]))
+    # Words of the phrases are numbered and written as LETTERS_A_WORD letters of disjoint
+    # alphabets, so that the automaton's nodes have few branches; 0 is any other word.
+    known = np.unique(words[starts[:, None] + np.arange(phrase)])
+    place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    number = np.where(known[place] == words, place + 1, 0)
+    k = LETTERS_A_WORD
+    base = math.ceil((len(known) + 1) ** (1 / k)) + 1
+    letters = np.empty((len(words), k), "<u2")
+    for i in range(k):
+        letters[:, i] = 0x100 + i * base + number // base**i % base
+    written = letters.tobytes().decode("utf-16-le")
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for p in (k * starts).tolist():
+        automaton.add_word(written[p : p + k * phrase])
     automaton.make_automaton()
     found: list[int] = []
-    for first, end in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-        if end - first >= phrase:
-            found += [first + 1 - phrase + last for last, _ in automaton.iter(tuple(numbers[first:end]))]
-    return np.array(found, np.int64)
+    for first, end in zip((k * off[:-1]).tolist(), (k * off[1:]).tolist(), strict=True):
+        if end - first >= k * phrase:
+            found += [last for last, _ in automaton.iter(written, first, end)]
+    return (np.array(found, np.int64) + 1) // k - phrase
 
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
