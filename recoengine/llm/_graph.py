@@ -19,16 +19,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     is named by its least node.
 
     Each round hooks every node that has a smaller neighbour to its least one
-    (a partial aggregation, so a node of any degree is no hot task), shortens
-    the chains of hooks, and goes on with the edges between the remaining
-    roots, which are far fewer.  Frames are cut by checkpoints, so that joins
-    shuffle both sides anew and Spark can split a hot key, and a lost executor
-    costs no earlier round.
+    (a partial aggregation, so a node of any degree is no hot task), follows
+    chains of hooks to their ends by doubling, and goes on with the edges
+    between the remaining roots, which are far fewer.  Frames are cut by
+    checkpoints, so that joins shuffle both sides anew and Spark can split a
+    hot key, and a lost executor costs no earlier round.
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct())
     labels = edges.select(F.col("hi").alias("node")).union(edges.select("lo")).distinct().withColumn("component", F.col("node"))
     while not edges.isEmpty():
-        hooks = cut(_jump(_jump(cut(edges.groupBy("hi").agg(F.min("lo").alias("to"))))))
+        hooks = cut(edges.groupBy("hi").agg(F.min("lo").alias("to")))
+        while not hooks.select("to").join(hooks.select("hi"), F.col("to") == F.col("hi"), "left_semi").isEmpty():
+            hooks = cut(_jump(hooks))
         h, k, e = hooks.alias("h"), hooks.alias("k"), edges.alias("e")
         moved = e.join(h, F.col("e.hi") == F.col("h.hi")).join(k, F.col("e.lo") == F.col("k.hi"), "left")
         moved = moved.select(F.col("h.to").alias("a"), F.coalesce("k.to", "e.lo").alias("b"))

@@ -304,12 +304,10 @@ def _candidates(docs: DataFrame, shingle: int, rule: Rule, id_col: str, text_col
     return found.unionByName(grouped.copies.mapInArrow(copies, SETS))
 
 
-def _block_links(members: DataFrame, rule: Rule, tile_rows: int) -> DataFrame:
+def _block_links(members: DataFrame, rule: Rule) -> DataFrame:
     """(node, root) of the sets in each block or pair of tiles.  ``members``:
-    block, doc_id, n_shingles, shingles."""
-    large = cut(members.groupBy("block").count().filter(F.col("count") > tile_rows).select("block", F.ceil(F.col("count") / tile_rows).cast("int").alias("tiles")))
-    tiled = members.join(large, "block", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    block, tiles (how many the block is dealt into), doc_id, n_shingles, shingles."""
+    tiled = members.withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiled = tiled.select("block", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "n_shingles", "doc_id", "tile", "shingles")
     key = ["block", "tile_a", "tile_b"]
 
@@ -338,10 +336,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_percent: int =
     sets = found.filter("shingles is not null")
     edges = sets.select(F.col("doc_id").alias("a"), F.explode("rare").alias("token")).select("a", (F.col("token").bitwiseAND(SHINGLE_NODE - 1) + F.lit(SHINGLE_NODE)).alias("b"))
     blocks = connected_components(edges).filter(F.col("node") < SHINGLE_NODE)
-    sizes = cut(blocks.groupBy("component").count().filter("count > 1").select(F.col("component").alias("block")))
-    blocks = blocks.join(sizes, F.col("component") == F.col("block")).select("node", "block")
-    members = sets.join(blocks, F.col("doc_id") == F.col("node")).select("block", "doc_id", "n_shingles", "shingles")
-    links = _block_links(members, rule, tile_rows)
+    counted = blocks.groupBy("component").count().filter("count > 1")
+    counted = cut(counted.select(F.col("component").alias("block"), F.ceil(F.col("count") / tile_rows).cast("int").alias("tiles")))
+    blocks = blocks.join(counted, F.col("component") == F.col("block")).select("node", "block", "tiles")
+    members = sets.join(blocks, F.col("doc_id") == F.col("node")).select("block", "tiles", "doc_id", "n_shingles", "shingles")
+    links = _block_links(members, rule)
     components = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     rows = found.select("doc_id", "first", "n_shingles")
     known = rows.join(components, F.col("first") == F.col("node"), "left")

@@ -68,7 +68,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the labelled documents that are not held out, score all."""
     docs = table(spark, sf_dir, "documents")
-    net = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    net = toxicity.trained_network(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, net)
 
 

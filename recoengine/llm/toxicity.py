@@ -359,10 +359,10 @@ def train(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Ne
     return net
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2000, max_chars: int = 30_000, held_out_of: int = 5) -> tuple[list[str], np.ndarray]:
-    """At most max_toxic + max_clean labelled texts, chosen by a hash of the
-    id, none of which is held out (crc32 of the id as text divisible by
-    ``held_out_of``)."""
+def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2000, max_chars: int = 30_000, held_out_of: int = 5) -> DataFrame:
+    """doc_id, text and toxic of at most max_toxic + max_clean labelled texts,
+    chosen by a hash of the id, none of which is held out (crc32 of the id as
+    text divisible by ``held_out_of``)."""
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of != 0)
     by = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -371,10 +371,26 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, m
         part = known.filter(F.col("toxic") == kind).orderBy(*by).limit(n)
         sample = part if sample is None else sample.unionByName(part)
     texts = docs.select("doc_id", "text").filter(f"text is not null and length(text) <= {max_chars}")
-    # at most max_toxic + max_clean rows of two numbers are broadcast, and so many texts collected
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return [r.text for r in rows], np.array([r.toxic for r in rows], np.int64)
+    # at most max_toxic + max_clean rows of two numbers are broadcast
+    return texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").distinct()
+
+
+def trained_network(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, **sample) -> Network:
+    """The network fitted to the training sample, in one task (the sample is
+    bounded, whatever the input); only the parameters come to the driver."""
+    s = settings or Settings()
+    prepare(docs.sparkSession)
+
+    def fit(frames):
+        import pandas as pd
+
+        rows = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "toxic": []}), *frames], ignore_index=True).sort_values(["doc_id", "text"], kind="stable")
+        net = train(rows["text"].tolist(), rows["toxic"].to_numpy(np.int64), s)
+        for name, p in net.p.items():
+            yield pd.DataFrame({"name": [name], "shape": [list(p.shape)], "data": [p.astype("<f4").tobytes()]})
+
+    found = training_sample(docs, labels, **sample).coalesce(1).mapInPandas(fit, "name string, shape array<int>, data binary").collect()  # some MB
+    return Network(s, {r.name: np.frombuffer(r.data, "<f4").reshape(r.shape).copy() for r in found})
 
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
