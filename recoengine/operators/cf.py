@@ -93,6 +93,34 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
     return model.transform(test)
 
 
+def prediction_mismatches(model: ALSModel, pred: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """CF-4 checked: predictions, and how many of them differ from the dot
+    product of the two factors."""
+    u = model.userFactors.select(F.col("id").alias("user_index"), F.col("features").alias("uf"))
+    i = model.itemFactors.select(F.col("id").alias("book_index"), F.col("features").alias("bf"))
+    dot = F.aggregate(F.zip_with("uf", "bf", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    off = F.abs(dot - F.col("prediction")) > tolerance * (1 + F.abs(dot))
+    return pred.join(u, "user_index").join(i, "book_index").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(off, 1)).alias("n_mismatch"))
+
+
+def recommendation_checks(recs: DataFrame, seen: DataFrame) -> DataFrame:
+    """CF-6..10 checked, one row per user: how many recommendations, how many
+    of them were seen, whether ranks are 1..n in the order of the scores and
+    every final score is the model's plus the boosts."""
+    known = seen.select("user_id", "book_title", F.lit(1).alias("__seen")).distinct()
+    rows = recs.join(known, ["user_id", "book_title"], "left")
+    order = F.array_sort(F.collect_list(F.struct("rank", F.col("final_score").alias("score"))))
+    checked = rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"),
+        F.count("__seen").alias("n_seen"),
+        order.alias("__order"),
+        F.min((F.abs(F.col("final_score") - F.col("cf_score") - F.col("author_hit") - F.col("genre_hit")) < 1e-9).cast("int")).alias("__sum"),
+    )
+    ranks = F.forall(F.transform("__order", lambda x, i: x["rank"] == i + 1), lambda x: x)
+    falling = F.forall(F.transform("__order", lambda x, i: (i == 0) | (x["score"] <= F.element_at("__order", F.greatest(i, F.lit(1)))["score"])), lambda x: x)
+    return checked.select("user_id", "n_recs", "n_seen", (ranks & falling).alias("ranks_ok"), (F.col("__sum") == 1).alias("scores_ok"))
+
+
 def rating_errors(pred: DataFrame, label_col: str = "label_rating", pred_col: str = "prediction") -> DataFrame:
     """CF-5: RMSE and MAE in one pass."""
     err = F.col(pred_col).cast("double") - F.col(label_col).cast("double")

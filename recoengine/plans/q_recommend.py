@@ -10,6 +10,7 @@ from recoengine.operators import content
 from recoengine.plans import roles as R
 from recoengine.plans.queries import register
 from recoengine.session import literal_rows
+from recoengine.sources import io
 
 # Query titles for the similarity report (parameters, like a user's request).
 QUERY_TITLES = ("doc 1", "DOC 42", "Doc 500", "doc 99999999")
@@ -103,10 +104,29 @@ def con_6(spark, d):
     return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))
 
 
-@register("SNK_4_recommendations_json")
+@register(
+    "SNK_4_recommendations_json",
+    f"""WITH {SIMILAR_SQL}
+    SELECT query, matched_title, rank, book_title AS title, round(similarity, 6) + 0.0 AS similarity_score FROM ranked WHERE rank <= 20""",
+    ("item_texts_src",),
+)
 def snk_4(spark, d):
-    """Nested result rows as written to JSON (checked by rows; values by CON_6_7)."""
-    return content.recommendations_json(_similar(spark, d))
+    """SNK-4 + CON-7: nested result rows written as JSON and read back."""
+    path = io.scratch_path(spark, "snk_4")
+    content.write_recommendations_json(_similar(spark, d), path)
+    back = content.read_recommendations_json(spark, path)
+    return back.select("query", "matched_title", "rank", "title", round6("similarity_score").alias("similarity_score"))
+
+
+@register(
+    "CON_6_unknown_titles",
+    f"""WITH {ITEMS_SQL}
+    SELECT DISTINCT query, 'title not found' AS error FROM (VALUES {_Q_SQL}) t(query)
+    WHERE NOT EXISTS (SELECT 1 FROM items i WHERE lower(i.book_title) = lower(query))""",
+    ("item_texts_src",),
+)
+def con_6_unknown(spark, d):
+    return content.unknown_titles(_items(spark, d), literal_rows(spark, [(q,) for q in QUERY_TITLES], ["query"]))
 
 
 # ------------------------------------------------------- collaborative filtering
@@ -291,6 +311,63 @@ def cf_10(spark, d):
     return recs.select("user_id", "rank", "book_title", "final_score", "cf_score", "author_hit", "genre_hit", "author", "categories")
 
 
+LABELS_SQL = f"""
+    lab AS (SELECT user_id, book_title, label_rating, {SPLIT_SQL} AS part FROM cf_ratings
+            WHERE user_id IS NOT NULL AND book_title IS NOT NULL AND label_rating IS NOT NULL),
+    users_t AS (SELECT DISTINCT user_id FROM lab WHERE part = 'train'),
+    items_t AS (SELECT DISTINCT book_title FROM lab WHERE part = 'train'),
+    seen_t AS (SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, book_title FROM lab)
+               WHERE book_title IN (SELECT book_title FROM items_t) GROUP BY user_id),
+    expected AS (SELECT u.user_id, CAST(least(20, (SELECT count(*) FROM items_t) - coalesce(s.n, 0)) AS BIGINT) AS n_recs
+                 FROM users_t u LEFT JOIN seen_t s USING (user_id))"""
+CHECKED_SQL = "SELECT user_id, n_recs, CAST(0 AS BIGINT) AS n_seen, true AS ranks_ok, true AS scores_ok FROM expected WHERE n_recs > 0"
+
+
+@register(
+    "CF_3_4_5_als_checks",
+    f"""WITH {LABELS_SQL}
+    SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_mismatch, true AS errors_ok FROM lab
+    WHERE part = 'test' AND user_id IN (SELECT user_id FROM users_t) AND book_title IN (SELECT book_title FROM items_t)""",
+    ("cf_ratings",),
+)
+def cf_3_checks(spark, d):
+    """CF-3/4/5: the hold-out rows predicted, those that differ from the dot
+    product of the factors, and the errors' range (ratings lie in 1..5)."""
+    labeled = cf.prepare_labels(R.cf_ratings(spark, d))
+    indexed, _, _ = cf.add_indexes(labeled)
+    train, test = cf.split(indexed)
+    model = cf.train_als(train.select("user_index", "book_index", "label_rating"))
+    pred = cf.predict(model, test)
+    e = cf.rating_errors(pred).select(((F.col("rmse") > 0) & (F.col("rmse") < 4) & (F.col("mae") <= F.col("rmse"))).alias("errors_ok"))
+    m = cf.prediction_mismatches(model, pred)
+    return m.select("n", "n_mismatch", F.lit(e.scalar()).alias("errors_ok"))
+
+
+@register("CF_6_10_checks", f"WITH {LABELS_SQL}\n{CHECKED_SQL}", ("cf_ratings",))
+def cf_10_checks(spark, d):
+    """CF-6..10 for all users: min(20, trained items not seen) recommendations
+    each, none seen, ranks and scores in order."""
+    ratings = R.cf_ratings(spark, d)
+    recs, _ = cf.recommend_for_users(ratings)
+    return cf.recommendation_checks(recs, ratings)
+
+
+@register(
+    "CF_10_picked_user_checks",
+    f"""WITH {LABELS_SQL}, picked AS (
+      SELECT user_id FROM ({ACT_SQL})
+      ORDER BY CASE WHEN cnt >= 5 AND avg_r >= 2.5 THEN 0 ELSE 1 END,
+               CASE WHEN cnt >= 5 AND avg_r >= 2.5 THEN md5(user_id || ':42') END ASC NULLS FIRST, cnt DESC, user_id ASC
+      LIMIT 1)
+    {CHECKED_SQL} AND user_id IN (SELECT user_id FROM picked)""",
+    ("cf_ratings",),
+)
+def cf_10_picked_checks(spark, d):
+    ratings = R.cf_ratings(spark, d)
+    recs, _ = cf.recommend_for_users(ratings, users=cf.pick_user(ratings).select("user_id"))
+    return cf.recommendation_checks(recs, ratings)
+
+
 # ------------------------------------------------------------------ enrichment
 from recoengine.operators import enrich  # noqa: E402
 
@@ -361,6 +438,23 @@ def cf_10_curated(spark, d):
     return recs.select("user_id", "rank", "book_title", "final_score", "cf_score", "author_hit", "genre_hit", "author", "categories")
 
 
+from recoengine.plans.q_curation import PIP_3_CTES, PIP_3_SOURCES  # noqa: E402
+
+
+@register(
+    "CF_10_on_curated_labels_checks",
+    f"WITH {PIP_3_CTES}, cf_rated AS (SELECT user_id, book_title, final_rating AS label_rating FROM labeled),"
+    + LABELS_SQL.replace("cf_ratings", "cf_rated")
+    + f"\n{CHECKED_SQL}",
+    PIP_3_SOURCES,
+)
+def cf_10_curated_checks(spark, d):
+    curated = curate(R.reviews_raw(spark, d), R.books_raw(spark, d), R.fixture_lexicon(spark), sentiment_rules=R.fixture_rules())
+    curated = curated.checkpoint(eager=True)  # read by the model and by the check
+    recs, _ = cf.recommend_for_users(curated)
+    return cf.recommendation_checks(recs, curated)
+
+
 ENRICHED_SIMILAR_SQL = (
     "WITH "
     + ENR_SQL
