@@ -44,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--min-user", type=int, default=3)
     s.add_argument("--min-item", type=int, default=3)
+    s.add_argument("--metrics-out", help="where to write the rows in and out of every step (AGG-7)")
 
     s = sub.add_parser("sentiment")
     s.add_argument("--input", required=True)
@@ -55,6 +56,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--input", required=True)
     s.add_argument("--out", required=True)
 
+    s.add_argument("--metrics-out", help="where to write the rows per rating (AGG-3)")
+
     s = sub.add_parser("enrich")
     s.add_argument("--input", required=True)
     s.add_argument("--catalog", required=True, help="table with columns title, description")
@@ -68,6 +71,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--k", type=int, default=100)
     s.add_argument("--n", type=int, default=20)
     s.add_argument("--metrics-out", help="where to write the hold-out RMSE/MAE")
+    s.add_argument("--pick-user", action="store_true", help="one active user instead of all (TOP-5)")
+    s.add_argument("--cap", type=int, default=0, help="only the first rows by user and title (SRC-4)")
+    s.add_argument("--history-out", help="where to write the users' best-rated books (TOP-2)")
 
     s = sub.add_parser("similar")
     s.add_argument("--books", required=True, help="table with book_title and description (or final_description)")
@@ -94,9 +100,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
 
         write(merge_stage(read(args.reviews), read(args.books), dedupe=args.dedupe, cap=args.cap or None), args.out)
     elif args.stage == "preprocess":
-        from recoengine.plans.stages import preprocess_stage
+        from recoengine.plans.stages import preprocess_stage, stage_funnel
 
         write(preprocess_stage(read(args.input), args.min_user, args.min_item), args.out)
+        if args.metrics_out:
+            write(stage_funnel(read(args.input), args.min_user, args.min_item), args.metrics_out)
     elif args.stage == "sentiment":
         from recoengine.operators.sentiment import score_sentiment
 
@@ -105,16 +113,26 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
         from recoengine.plans.stages import label_stage
 
         write(label_stage(read(args.input)), args.out)
+        if args.metrics_out:
+            from recoengine.operators.profile import rating_histogram
+
+            write(rating_histogram(read(args.out) if args.in_format == args.out_format else label_stage(read(args.input)), "rating"), args.metrics_out)
     elif args.stage == "enrich":
         from recoengine.operators.enrich import enrich_books
 
         write(enrich_books(read(args.input), read(args.catalog), args.top or None), args.out)
     elif args.stage == "recommend":
-        from recoengine.operators.cf import recommend_for_users
-
-        users = read(args.users) if args.users else None
-        recs, errors = recommend_for_users(read(args.input), users, k=args.k, n=args.n)
+        from recoengine.operators.cf import pick_user, prepare_labels, recommend_for_users, user_history
+
+        ratings = prepare_labels(read(args.input))
+        ratings = io.cap_rows(ratings, args.cap, ["user_id", "book_title", "label_rating"])
+        users = read(args.users).select("user_id") if args.users else None
+        if args.pick_user:
+            users = pick_user(ratings).select("user_id")
+        recs, errors = recommend_for_users(ratings, users, k=args.k, n=args.n)
         write(recs, args.out)
+        if args.history_out:
+            write(user_history(ratings, users), args.history_out)
         if args.metrics_out:
             write(errors, args.metrics_out)
     elif args.stage == "similar":

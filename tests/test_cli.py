@@ -27,3 +27,34 @@ def test_cli_stage_chain(spark, tmp_path):
     lines = [json.loads(x) for f in os.listdir(p("json")) if f.endswith(".json") for x in open(os.path.join(p("json"), f))]
     assert sorted(x["query"] for x in lines) == sorted(titles)
     assert all(len(x["recommendations"]) == 20 for x in lines)
+
+
+def test_cli_from_csv_with_junk_numbers(spark, tmp_path):
+    p = lambda name: str(tmp_path / name)
+    rows = ["user_id,book_title,rating,sentiment_score,authors,categories"]
+    rows += [f'u{u},"Book, {b}",{1 + (u * b) % 5},{0.1 if b % 2 else "n/a"},"[\'A {b % 3}\']","[\'C\']"' for u in range(12) for b in range(15) if (u + b) % 3]
+    rows += ['u1,"Book, 99",abc,0.5,,', 'u2,"Book, 98",,x,,']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part.csv").write_text("\n".join(rows) + "\n")
+    fmt = ["--in-format", "csv", "--out-format", "csv", "--single-line-csv"]
+    cli.run([*fmt, "--files", "2", "label", "--input", p("in"), "--out", p("ratings"), "--metrics-out", p("histogram")], spark)
+    assert len([f for f in os.listdir(p("ratings")) if f.endswith(".csv")]) == 2
+    from recoengine.sources import io
+
+    back = {(r.user_id, r.book_title): r.final_rating for r in io.read_csv_strings(spark, p("ratings")).collect()}
+    assert back["u1", "Book, 99"] is None and len(back) == len(rows) - 1
+    assert sum(int(r.n) for r in io.read_csv_strings(spark, p("histogram")).collect()) == len(rows) - 1
+    cli.run([*fmt, "recommend", "--input", p("ratings"), "--out", p("recs"), "--n", "3", "--pick-user", "--history-out", p("history")], spark)
+    recs = io.read_csv_strings(spark, p("recs")).collect()
+    assert len(recs) == 3 and len({r.user_id for r in recs}) == 1
+    assert {r.user_id for r in io.read_csv_strings(spark, p("history")).collect()} == {recs[0].user_id}
+
+
+def test_corrupt_csv_records_are_kept_and_counted(spark, tmp_path):
+    from recoengine.sources import io
+
+    (tmp_path / "x.csv").write_text("id,v\n1,2.5\nx,3\n2,abc\n3,4\n")
+    df = io.read_csv(spark, str(tmp_path / "x.csv"), "id int, v double", multi_line=False, keep_corrupt=True).cache()
+    assert [tuple(r) for r in io.corrupt_count(df).collect()] == [(4, 2)]
+    assert df.filter("id = 3 and v = 4.0").count() == 1
+    df.unpersist()
