@@ -25,6 +25,7 @@ class MissingColumnsError(ValueError):
 
 
 # Column aliases seen in review dumps, mapped to canonical names.
+# Column names of the raw dumps and what they are called here.
 REVIEW_ALIASES = {
     "User_id": "user_id",
     "user": "user_id",

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 from recoengine.functions.numeric import round6
 
@@ -63,16 +64,19 @@ def numeric_summary(df: DataFrame, expr: Column, approx: bool = False, accuracy:
 
     Quartiles interpolate linearly (SQL ``percentile_cont``).  ``method``:
 
-    * ``"exact"`` (default): Spark's ``percentile``, whose buffer is a
+    * ``"exact"`` (default for integers): Spark's ``percentile``, whose buffer is a
       value -> count map, i.e. bounded by the number of *distinct* values
       (right for lengths, counts, star ratings);
-    * ``"distributed"``: exact for high-cardinality doubles too: values are
+    * ``"distributed"`` (default for floats, whose distinct values have no
+      bound): exact for high-cardinality doubles too: values are
       ranked by a distributed range sort (per-partition offsets, see
       :func:`recoengine.operators.ranking.dense_index`) and only the rows at
       the interpolation positions are read back;
     * ``"approx"`` (or ``approx=True``): ``percentile_approx``.
     """
-    method = method or ("approx" if approx else "exact")
+    if method is None:
+        fractional = isinstance(df.select(expr).schema[0].dataType, (FractionalType, DecimalType))
+        method = "approx" if approx else "distributed" if fractional else "exact"
     x = expr.cast("double")
     moments = [
         F.count(x).alias("count"),
