@@ -58,3 +58,15 @@ BOOSTERS_UP = (
 BOOSTERS_DOWN = (
     "barely", "hardly", "slightly", "somewhat", "less", "marginally", "scarcely",
 )
+
+# Emphasis rules of the published scorer (fixed values): capitals, contrast,
+# exclamation and question marks.
+CAPS_INCREMENT = 0.733
+CONTRAST_WORDS = ("but",)
+CONTRAST_BEFORE = 0.5
+CONTRAST_AFTER = 1.5
+EXCLAMATION_INCREMENT = 0.292
+EXCLAMATION_MOST = 4
+QUESTION_INCREMENT = 0.18
+QUESTION_FEW = 3
+QUESTION_MANY = 0.96

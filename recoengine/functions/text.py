@@ -48,8 +48,8 @@ def whitespace_tokens(col: str | Column) -> Column:
     return F.split(F.lower(_c(col)), "\\s")
 
 
-def word_tokens(col: str | Column) -> Column:
-    """Sentiment tokens: lower-case, split on whitespace runs, strip non-word
+def word_tokens(col: str | Column, lower: bool = True) -> Column:
+    """Sentiment tokens: lower-case (unless ``lower=False``), split on whitespace runs, strip non-word
     characters (other than ``'``) from both ends of each token, drop empty
     tokens.
 
@@ -57,6 +57,7 @@ def word_tokens(col: str | Column) -> Column:
     its neighbours (``[^\\w']*\\s+[^\\w']*``), after stripping both ends of the
     whole text: one regex pass per text instead of one per token.
     """
-    text = F.lower(F.coalesce(_c(col), F.lit("")))
+    text = F.coalesce(_c(col), F.lit(""))
+    text = F.lower(text) if lower else text
     text = F.regexp_replace(text, "^[^\\w']+|[^\\w']+$", "")
     return F.filter(F.split(text, "[^\\w']*\\s+[^\\w']*"), lambda t: t != F.lit(""))

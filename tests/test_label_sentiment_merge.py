@@ -95,3 +95,29 @@ def test_sentiment_by_distinct_text(spark):
     assert out.columns == ["review_text", "n", "sentiment_score"] and out.count() == 5
     by_text = {r.review_text: r.sentiment_score for r in out.collect()}
     assert by_text["good"] == a[1] and by_text["not good"] == a[3] and by_text[None] == 0.0 and by_text[""] == 0.0
+
+
+def test_emphasis_rules_by_hand(spark):
+    import math
+
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    cases = {
+        "good": 1.9,
+        "GOOD": 1.9,  # all in capitals: no emphasis
+        "GOOD book": 1.9 + 0.733,
+        "BAD book": -2.5 - 0.733,
+        "good but bad": 0.5 * 1.9 + 1.5 * -2.5,
+        "but good": 1.5 * 1.9,
+        "good!!": 1.9 + 2 * 0.292,
+        "bad!!!!!!": -2.5 - 4 * 0.292,
+        "good?": 1.9,
+        "good??": 1.9 + 2 * 0.18,
+        "good?????": 1.9 + 0.96,
+        "nothing!!": 0.0,
+        "": 0.0,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)] + [(99, None)], "id long, review_text string")
+    got = {r.review_text: r.sentiment_score for r in score_sentiment(df, lex, emphasis=True).collect()}
+    for text, s in cases.items():
+        assert abs(got[text] - s / math.sqrt(s * s + 15)) < 1e-9, text
+    assert got[None] == 0.0
