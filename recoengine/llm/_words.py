@@ -28,18 +28,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(step: int, size: int) -> np.ndarray:
-    out = np.full(size, step, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+#: By step, as far as they were needed: one table each, whatever the lengths asked for.
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(step: int, n: int) -> np.ndarray:
     """step**0 .. step**(n - 1) modulo 2**64."""
-    return _powers(step, 1 << max(16, (n - 1).bit_length()))[:n]
+    if len(_POWERS.get(step, ())) < n:
+        out = np.full(1 << max(16, (n - 1).bit_length()), step, np.uint64)
+        out[0] = 1
+        _POWERS[step] = np.multiply.accumulate(out)
+    return _POWERS[step][:n]
 
 
+@functools.cache
 def inverse(step: int) -> int:
     return pow(step, -1, 1 << 64)
 

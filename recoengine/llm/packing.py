@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from recoengine.llm._util import prepare, text_slices
 
 #: Entries of the word cache; a full cache is emptied, which bounds a worker's memory.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 400_000
 SLICE_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 from recoengine.llm._util import prepare, text_bytes, text_slices
 from recoengine.llm._words import BYTE_STEP, FOLDED, U, Words, mix, prefix_sums, stretches
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
+#: Words whose n-gram vectors are gathered at a time.
+VECTOR_WORDS = 1 << 14
 BATCH_WINDOWS = 2048
 #: Bytes that part words here: ASCII other than letters and digits.
 APART = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -53,11 +55,11 @@ class Settings:
     grams: tuple[int, ...] = (3, 4)
     ends: tuple[int, ...] = (3, 4, 5, 6, 7, 8)
     word_dropout: float = 0.5
-    rounds: int = 320
-    documents: int = 48
+    rounds: int = 400
+    documents: int = 32
     seed: int = 11
     rate: float = 0.03
-    max_windows: int = 24  # of one document in one training round
+    max_windows: int = 16  # of one document in one training round
 
 
 @dataclass
@@ -169,9 +171,12 @@ class Network:
         x = p["word"][vocabulary.word]
         if kept is not None:
             x *= kept[:, None]
-        if len(vocabulary.gram):
-            some = np.flatnonzero(size)
-            x[some] += np.add.reduceat(p["gram"][vocabulary.gram], vocabulary.gram_off[some], axis=0) / np.sqrt(size[some, None]).astype(np.float32)
+        off = vocabulary.gram_off
+        for first in range(0, len(x), VECTOR_WORDS):
+            some = first + np.flatnonzero(size[first : first + VECTOR_WORDS])
+            if len(some):
+                grams = p["gram"][vocabulary.gram[off[some[0]] : off[some[-1] + 1]]]
+                x[some] += np.add.reduceat(grams, off[some] - off[some[0]], axis=0) / np.sqrt(size[some, None]).astype(np.float32)
         return x
 
     def _run(self, x: np.ndarray, rows: np.ndarray, direction: int, keep: list | None) -> np.ndarray:
