@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recoengine.session import ensure_checkpoint_dir
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -23,6 +24,10 @@ def prepare(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH", "")) if x)
+    # Whole texts make large rows: batches of Spark's default of 10,000 rows
+    # would be held several times over (JVM, transfer, worker).
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
 
 
 def cut(df: DataFrame) -> DataFrame:
