@@ -93,7 +93,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_line_template_dedup", line_dedup.ORACLE_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines of recurring templates."""
-    out = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True)
+    out = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True, by_texts=False)  # as its SQL counts
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 

@@ -230,6 +230,20 @@ def test_templates_with_variable_fields_go(spark):
     assert line_dedup.drop_recurring_lines(df.limit(0)).count() == 0
 
 
+def unrelated(rng, n_lines, n_words=14):
+    return [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n_words)) for _ in range(n_lines)]
+
+
+def test_neither_copies_nor_repeats_keep_boilerplate(spark):
+    rng = random.Random(7)
+    once, thrice = "All rights of this page are reserved", "Go back to the top of the page"
+    docs = [(i, "\n".join([*unrelated(rng, 2), once, thrice, *unrelated(rng, 2), thrice, thrice])) for i in range(20)]
+    rows = docs + [(100 + i, docs[0][1]) for i in range(60)]  # a document copied more often than there are others
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_recurring_lines(df).collect()}
+    assert got == {i: [x for x in t.split("\n") if x not in (once, thrice)] for i, t in rows}
+
+
 # ------------------------------------------------------------------- toxicity
 def toxic_corpus(seed, n):
     rng = random.Random(seed)
