@@ -244,6 +244,18 @@ def test_neither_copies_nor_repeats_keep_boilerplate(spark):
     assert got == {i: [x for x in t.split("\n") if x not in (once, thrice)] for i, t in rows}
 
 
+def test_shared_blocks_of_the_longest_lines_go(spark):
+    rng = random.Random(8)
+    block = unrelated(rng, 3, 40)  # the longest lines of their documents
+    docs = [(i, "\n".join([*unrelated(rng, 5), *block, *unrelated(rng, 5)])) for i in range(40)]
+    base = unrelated(rng, 10)
+    near = [(100 + i, "\n".join([*base[:4], *unrelated(rng, 1), *base[5:]])) for i in range(40)]
+    df = spark.createDataFrame(docs + near, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(df).collect()}
+    assert all(got[i].split("\n") == [x for x in t.split("\n") if x not in block] for i, t in docs)
+    assert all(got[i] == t for i, t in near)  # near copies are no boilerplate
+
+
 # ------------------------------------------------------------------- toxicity
 def toxic_corpus(seed, n):
     rng = random.Random(seed)
