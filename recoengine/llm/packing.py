@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -195,15 +196,29 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def pack_pieces(pieces: DataFrame, n_groups: int, capacity: int = 4096) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces (columns of ``PIECES``).
 
-    A piece's group is a hash of its document and number, so a document of
-    many pieces is spread as well."""
+    A piece's group is a hash of all its columns and of which of the equal
+    rows in its partition it is, so a document of many pieces is spread, and
+    so are rows that share an id or are equal throughout.  These numbers
+    depend on the partition's rows, not on their order, so a task that runs
+    again deals the same groups."""
 
     def pack(pdf):
-        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")
+        pdf = pdf.sort_values(["doc_id", "piece", "length", "ids_crc32"], kind="stable")
         bins, offsets = best_fit_decreasing(pdf["length"].to_numpy(np.int64), capacity)
-        return pdf.assign(sequence_id=(pdf["pack_group"].to_numpy(np.int64) << 32) + bins, offset=offsets).drop(columns="pack_group")
+        return pdf.assign(sequence_id=(pdf["pack_group"].to_numpy(np.int64) << 32) + bins, offset=offsets).drop(columns=["same", "pack_group"])
 
-    grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_groups)).cast("int"))
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            same = []
+            for key in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "piece", "length", "ids_crc32")), strict=True):
+                same.append(seen[key])
+                seen[key] += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same, pa.int64())], [*batch.schema.names, "same"])
+
+    numbered = pieces.mapInArrow(number, f"{PIECES}, same long")
+    key = F.xxhash64("doc_id", "piece", "length", "ids_crc32", "same", F.when(F.col("same") > 0, F.spark_partition_id()))
+    grouped = numbered.withColumn("pack_group", F.pmod(key, F.lit(n_groups)).cast("int"))
     return grouped.groupBy("pack_group").applyInPandas(pack, PACKED)
 
 

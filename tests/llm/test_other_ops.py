@@ -188,6 +188,16 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_rows_with_one_id_are_spread_over_the_groups(spark):
+    rows = [(None, 0, 0, 100, 7)] * 400 + [(5, 0, 0, 50 + i, i) for i in range(400)]
+    pieces = spark.createDataFrame(rows, packing.PIECES).repartition(3)
+    got = packing.pack_pieces(pieces, 8).collect()
+    assert collections.Counter(tuple(r)[:5] for r in got) == collections.Counter(rows)
+    for same_id in (None, 5):
+        sizes = collections.Counter(r.sequence_id >> 32 for r in got if r.doc_id == same_id)
+        assert len(sizes) == 8 and max(sizes.values()) <= 100
+
+
 def test_best_fit_takes_the_tightest_bin():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 101, 400)
