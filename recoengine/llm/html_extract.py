@@ -35,8 +35,12 @@ from recoengine.llm.labelled_pages import MARK, labelled_pages
 SLICE_BYTES = 4 << 20
 
 # Fixed values of HTML.
-#: Elements whose content is never page text.
-UNSEEN = "script style noscript template iframe svg math object head title textarea select option datalist".split()
+#: Elements whose content is never page text: those of raw text run to their
+#: end tag (or the end of the page), the others as long as they are open.
+RAW_TEXT = "script style noscript iframe title textarea".split()
+HIDDEN = set("template svg math object head select option datalist".split())
+#: Hidden elements that a block closes, as they hold none.
+WITHOUT_BLOCKS = {"head", "option"}
 #: Elements that begin and end a block.
 BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -56,7 +60,7 @@ NOT_IN_P = BLOCK - {"button", "body", "html"}
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<(" + "|".join(UNSEEN) + r")(?=[\s/>])[^>]*>(?:.*?</\1(?=[\s/>])[^>]*(?:>|\Z)|.*)"
+    r"|<(" + "|".join(RAW_TEXT) + r")(?=[\s/>])[^>]*>(?:.*?</\1(?=[\s/>])[^>]*(?:>|\Z)|.*)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?:>|\Z)|[^>]*(?:>|\Z))",
     re.S | re.I,
@@ -87,6 +91,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[tuple[str, bool]] = []
     links = 0
+    hidden: int | None = None  # place of the outermost open hidden element
 
     def flush() -> None:
         if held:
@@ -96,13 +101,15 @@ def blocks_of(html: str) -> list[Block]:
             held.clear()
 
     def add(piece: str) -> None:
-        if piece:
+        if piece and hidden is None:
             held.append((entities.unescape(piece) if "&" in piece else piece, links > 0))
 
     def pop_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, hidden
         links -= sum(1 for tag, _ in stack[depth:] if tag == "a")
         del stack[depth:]
+        if hidden is not None and hidden >= depth:
+            hidden = None
 
     at = 0
     for m in TOKEN.finditer(html):
@@ -115,23 +122,34 @@ def blocks_of(html: str) -> list[Block]:
             break  # the page breaks off inside a tag
         tag = tag.lower()
         if m[2]:  # an end tag
-            if tag in BLOCK:
+            if tag in BLOCK and hidden is None:
                 flush()
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
+                    if tag in BLOCK and hidden is not None and hidden >= depth:
+                        pop_to(hidden)
+                        flush()
                     pop_to(depth)
                     break
-                if tag not in BLOCK and stack[depth][0] in BLOCK:
+                if tag not in BLOCK and tag not in HIDDEN and stack[depth][0] in BLOCK:
                     break
             continue
+        if tag in BLOCK or tag == "option":
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in WITHOUT_BLOCKS:
+                    pop_to(depth)
+                    break
+                if stack[depth][0] in BLOCK or stack[depth][0] in HIDDEN:
+                    break
         if tag in BLOCK:
-            flush()
+            if hidden is None:
+                flush()
             if tag in NOT_IN_P:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == "p":
                         pop_to(depth)
                         break
-                    if stack[depth][0] in BLOCK:
+                    if stack[depth][0] in BLOCK or stack[depth][0] in HIDDEN:
                         break
             if tag in CLOSES:
                 ends, shields = CLOSES[tag]
@@ -139,14 +157,18 @@ def blocks_of(html: str) -> list[Block]:
                     if stack[depth][0] in ends:
                         pop_to(depth)
                         break
-                    if stack[depth][0] in shields:
+                    if stack[depth][0] in shields or stack[depth][0] in HIDDEN:
                         break
-        elif tag in ("br", "wbr", "img"):
+        elif tag in ("br", "wbr", "img") and hidden is None:
             held.append((" " if tag != "wbr" else "", False))
         if tag not in VOID and not m[0].endswith("/>"):
+            if hidden is None and tag in HIDDEN:
+                hidden = len(stack)
             stack.append((tag, _names(m[4])))
             links += tag == "a"
     add(html[at:])
+    if hidden is not None:
+        pop_to(hidden)
     flush()
     return out
 

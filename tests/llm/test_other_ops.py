@@ -113,6 +113,23 @@ def test_extract_gives_defined_texts(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ('<p>One <svg class="icon"/>two.</p><p>Three <math/>four.</p>', ["One two.", "Three four."]),
+        ("<p>One <svg><title>t</title><path d='x'/></svg>two.</p><p>Four.</p>", ["One two.", "Four."]),
+        ("<div><p>One <object data=x>no</p><p>Two.</p></div><p>Three.</p>", ["One", "Two.", "Three."]),
+        ("<p>One <object><div>no</div></object>two.</p><p>Three.</p>", ["One two.", "Three."]),
+        ("<form><select><option>no<option>no</select></form><p>One.</p><option>no<p>Two.</p>", ["One.", "Two."]),
+        ("<head><template><li>no</template><title>no</title><body><p>One.</p>", ["One."]),
+        ("<p>One <script/>no</script>two <template><p>no</template>three.</p>", ["One two three."]),
+        ("<p>One.</p><textarea>no <p>no", ["One."]),
+    ],
+)
+def test_hidden_elements_end_with_what_holds_them(html, texts):
+    assert [b.text for b in html_extract.blocks_of(html)] == texts
+
+
 # ------------------------------------------------------------------ embeddings
 def test_links_match_brute_force(spark):
     rng = np.random.default_rng(2)
