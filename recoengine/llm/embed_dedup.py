@@ -92,7 +92,7 @@ def local_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.9,
-    recall: float = 0.95,
+    recall: float = 0.99,
     bucket_rows: int = 64,
     tile_rows: int = 2048,
     seed: int = 5,

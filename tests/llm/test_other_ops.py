@@ -167,6 +167,18 @@ def test_recall_at_the_threshold_itself():
     assert met.mean() >= 0.9
 
 
+def test_pairs_at_the_threshold_are_linked_by_default(spark):
+    rng = np.random.default_rng(1)
+    a, b = rng.standard_normal((2, 1000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (b * a).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    pairs = 0.901 * a + math.sqrt(1 - 0.901**2) * b
+    rows = [(k, x.tolist()) for k, x in enumerate(np.concatenate([a, pairs]))]
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert sum(n > 0 for n in got.values()) >= 0.98 * len(got)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 299)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
