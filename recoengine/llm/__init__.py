@@ -1,5 +1,6 @@
 """Operators of a training-data pipeline: decontamination, extraction,
-deduplication, packing, toxicity scoring and WARC archives.
+deduplication, packing, toxicity scoring, WARC archives, language identification,
+lexical search and periodic runs.
 
 Nothing outside this package imports it.  Each module holds one operator with
 its own general interface; :mod:`recoengine.llm.queries` registers the

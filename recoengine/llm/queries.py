@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoengine.llm import decontaminate, embed_dedup, html_extract, jaccard_join, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
+from recoengine.llm import decontaminate, embed_dedup, html_extract, jaccard_join, language_id, lexical_search, line_dedup, packing, periodic_runs, substring_dedup, suffix_dedup, toxicity, warc
 from recoengine.llm._util import prepare
 from recoengine.session import ensure_checkpoint_dir
 
@@ -116,3 +116,47 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of all documents at a Jaccard similarity of 0.8."""
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op11_language_bitmask_filters")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn the languages of the documents that are not held out, predict all."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.trained_filters(docs))
+
+
+@register("op12_lexical_search", lexical_search.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of every tenth document (by the CRC-32 of its id) the
+    words from some place on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), "")
+    planted = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.expr("nullif(cast(size(w) AS bigint), 0)")  # null: the text stays as it is
+    cut_at = planted.withColumns({"n": n, "a": (F.col("g") % n).cast("int")})
+    cut_at = cut_at.withColumn("rest", (F.col("n") - F.col("a")).cast("int")).withColumn("p", (1 + F.floor(F.col("rest") / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil(F.col("rest") / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("rest"))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return cut_at.select("doc_id", F.when(F.col("n").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, with the tails that the task plants."""
+    out = periodic_runs.periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    digest = lambda c: F.sha2(c, 256)
+    found = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("x"), digest(listed.cast("binary")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
+    length = -F.col("x.less")
+    return found.select(
+        "doc_id", "n_runs", F.col("x.start").alias("start"), length.alias("length"), F.col("x.period").alias("period"),
+        F.floor(F.expr("(-1000 * x.less) div x.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
