@@ -11,7 +11,7 @@ What is left is compared with what texts of the language itself reach,
 and the highest share decides; the score is that of the winner among all.
 
 Learning: from each language's documents whose id is not held out a sample of at most
-``SAMPLE`` documents (the least by a hash; texts of at most
+``SAMPLE`` documents (drawn by a hash; texts of at most
 ``SAMPLE_CHARS`` characters) is counted.  An n-gram belongs to a language if it
 occurs there twice at least, and as often as ``OWN_SHARE`` of what it does in the
 language where it is most frequent (by shares of all n-grams); of these each language keeps the
@@ -45,7 +45,7 @@ from recoengine.llm._words import U, mix
 HASHES, ROW_BITS = 3, 18
 ROWS = 1 << ROW_BITS
 SIZES = (3, 4)
-SAMPLE, SAMPLE_CHARS = 1500, 20_000
+SAMPLE, SAMPLE_CHARS = 1000, 20_000
 GRAMS, OWN_SHARE, LEAST_COUNT = 30_000, 0.4, 2
 FOLDS = 5
 SLICE_BYTES, PIECE = 1 << 20, 1 << 20
@@ -191,10 +191,13 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
 def trained_filters(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS, n_grams: int = GRAMS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Filters:
     """Learn the filters from the documents that are not held out."""
     prepare(docs.sparkSession)
-    known = docs.filter(~held_out(id_col)).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    known = docs.filter(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = known.filter(F.col("lang").isNotNull() & (F.char_length("text") <= sample_chars))
-    chance = known.withColumn("chance", F.xxhash64("text"))
-    ranked = chance.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("chance")))
+    # twice the sample by chance, so that no task sorts a whole language; then the least of these
+    sizes = cut(known.groupBy("lang").agg(F.count("*").alias("n")))  # one row per language, as the table has bits
+    drawn = known.withColumn("chance", F.pmod(F.xxhash64(F.lit("sample"), "id", "text"), F.lit(1 << 31)))
+    drawn = drawn.join(F.broadcast(sizes), "lang").filter(F.col("chance") * F.col("n") < 2.0 * sample * (1 << 31))
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("chance")))
     counts = cut(_gram_counts(ranked.filter(F.col("rank") <= sample)))
     languages = [r for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()]
     names = [r.lang for r in languages]
