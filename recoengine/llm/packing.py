@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from recoengine.llm._util import prepare, text_slices
 
-#: Entries of the word cache; a full cache is emptied, which bounds a worker's memory.
-CACHE_WORDS = 400_000
+#: Entries of the word cache and the bytes of its words; a full cache is emptied, which bounds a worker's memory.
+CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
 SLICE_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -54,18 +54,20 @@ class WordTokenizer:
     The file's pre-tokenizer never joins characters across ASCII white space,
     so a text's ids are its words' ids in order.  A word of letters that the
     normaliser leaves as it is goes straight to the BPE model; every other new
-    word goes through the whole tokenizer.
+    word goes through the whole tokenizer.  The strings of the file's added
+    tokens are found in the text as it is, so a text that holds one, in any
+    case, is not folded before it is split.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.cache: dict[bytes, bytes] = {}
-        self.cache_words = cache_words
+        self.cache_words, self.cached_bytes = cache_words, 0
         self.wide = "<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2"
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -73,6 +75,7 @@ class WordTokenizer:
 
     def _learn(self, words: set[bytes]) -> None:
         cache, rest, tails = self.cache, [], {}
+        self.cached_bytes += sum(map(len, words))
         for word in words:
             core = word[:-1]
             if word[-1:] in (b".", b",") and core.decode().isalpha():
@@ -90,13 +93,16 @@ class WordTokenizer:
             cache[word] = cache[core] + cache[word[-1:]]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.cache) > self.cache_words:
+        if len(self.cache) > self.cache_words or self.cached_bytes > CACHE_BYTES:
             self.cache.clear()
+            self.cached_bytes = 0
         split = []
         for text in texts:
             raw = (text or "").encode()
+            low = raw.lower()
             # ASCII case may be folded first unless a combining mark could compose with the letter.
-            split.append((raw if b"\xcc" in raw or b"\xcd" in raw else raw.lower()).split())
+            as_it_is = b"\xcc" in raw or b"\xcd" in raw or any(x in low for x in self.added)
+            split.append((raw if as_it_is else low).split())
         new = set().union(*split).difference(self.cache)
         if new:
             self._learn(new)

@@ -188,13 +188,14 @@ def test_components_of_chains_and_stars(spark):
 
 # -------------------------------------------------------------------- packing
 TEXTS = [(1, "Hello, WORLD! it's 3.14 —dash… É É ÀÉ J̌ x"), (2, None), (3, ""), (4, " \n\t "), (5, "word " * 9000), (6, "<|endoftext|> a\x1cb c\x85d\xa0e"), (7, "naïve straße ΑΣ İi ﬁ 한국어 日本語 🙂"), (1, "again")]
+TEXTS += [(10 + k, t) for k, t in enumerate(["a <|endoftext|> b", "glued<|endoftext|>Word", "A<|ENDOFTEXT|>B <|EndOfText|>", "<|startoftext|>x <|endoftext|><|endoftext|>.", "<|endoftext|>'s é<|endoftext|>\u0301 <|endof\ntext|>", "Some <|endoftext|> TEXT, More\n<|startoftext|>"])]
+TEXTS += [(30, " ".join(t for _, t in TEXTS[:4] if t))]
 
 
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
     docs = spark.createDataFrame([(i, t, 9, 8) for i, t in TEXTS], "doc_id long, text string, piece int, length int").repartition(2)
     rows = packing.pack_documents(docs, tokenizer_path()).collect()
     expected = collections.Counter()
