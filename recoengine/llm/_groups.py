@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.llm._util import cut, prepare, text_bytes, text_slices
+from recoengine.llm._util import cut, prepare, text_bytes, text_slices, tidy
 
 LEAST_GROUP, MOST_GROUP = 4 << 20, 64 << 20
 MOST_PARTITIONS = 20_000
@@ -133,7 +133,7 @@ def group_keys(grouped: Grouped, keys_of: Keys, buckets: int) -> DataFrame:
                 ["bucket", "grp", "keys", "counts"],
             )
 
-    return grouped.texts.mapInArrow(run, "bucket int, grp int, keys binary, counts binary")
+    return grouped.texts.mapInArrow(tidy(run), "bucket int, grp int, keys binary, counts binary")
 
 
 def recurring_keys(keys: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 from collections.abc import Iterator
 
@@ -38,6 +40,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release_memory() -> None:
+    """Give memory that this worker process no longer uses back to the system:
+    idle workers would keep it beside the JVM's."""
+    import ctypes
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A function over a task's batches that gives memory back when it ends."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def text_slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
     """(first, end) rows of consecutive slices holding about ``max_bytes`` of
     text each; a longer single text makes a slice of its own."""

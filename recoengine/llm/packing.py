@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.llm._util import prepare, text_slices
+from recoengine.llm._util import prepare, text_slices, tidy
 
 #: Entries of the word cache and the bytes of its words; a full cache is emptied, which bounds a worker's memory.
 CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
@@ -143,7 +143,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), PIECES)
 
 
 class CapacityTree:

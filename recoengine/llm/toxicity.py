@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.llm._util import prepare, text_bytes, text_slices
+from recoengine.llm._util import prepare, text_bytes, text_slices, tidy
 from recoengine.llm._words import BYTE_STEP, FOLDED, U, Words, mix, prefix_sums, stretches
 
 SLICE_BYTES = 2 << 20
@@ -414,7 +414,7 @@ def score(docs: DataFrame, net: Network, held_out_of: int = 5) -> DataFrame:
                 found = 1 / (1 + np.exp(-own.document_logits(buf, off).astype(np.float64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(found, pa.float64())], ["doc_id", "score"])
 
-    scores = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
+    scores = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "doc_id long, score double")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of == 0, F.lit(False))
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -433,4 +433,4 @@ def drop_toxic(docs: DataFrame, net: Network) -> DataFrame:
                 logits = own.document_logits(*text_bytes(part.column(at)))
                 yield part.filter(pa.array(logits < 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
