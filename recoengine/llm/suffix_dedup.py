@@ -12,8 +12,8 @@ alike.  Steps of one plan over the grouped texts
 2. The others go to buckets of the array by splitters that are sampled from the
    corpus: a suffix travels as its next ``length`` bytes and the bytes before
    it that a string around it can reach (read backwards).
-3. A bucket sorts its suffixes by multikey quicksort (eight bytes at a time, each
-   level within the ties of the one before), takes the longest common prefixes of
+3. A bucket sorts its suffixes by multikey quicksort (eight bytes are a
+   letter), takes the longest common prefixes of
    neighbours, and finds for every number of bytes before a suffix the least
    id among those that share the whole string.  Runs that touch a bucket's
    end may go on in the next bucket: their strings are compared across the
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.llm._groups import LAST_ID, Grouped, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
+from recoengine.llm._groups import LAST_ID, Distinct, Grouped, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
 from recoengine.llm._util import text_bytes, text_slices
 from recoengine.llm._words import BYTE_STEP, LETTERS, U, chosen, inside_texts, inverse, mix, powers, prefix_sums
 
@@ -75,27 +75,39 @@ def contexts(buf: np.ndarray, off: np.ndarray, at: np.ndarray, before: int, leng
     return out, left, right
 
 
+#: Segments of fewer rows are sorted by comparing the rows whole.
+SMALL_SEGMENT = 400
+
+
 def multikey_order(rows: np.ndarray) -> np.ndarray:
-    """The order of fixed-width byte strings: sorted by their first eight
-    bytes, then each run of ties by the next eight, and so on."""
+    """The order of fixed-width byte strings by multikey quicksort with eight
+    bytes as a letter: a segment whose rows agree before some letter is parted
+    by this letter into rows below, at and above a pivot; the middle part goes
+    on with the next letter, the others with the same."""
     n, width = rows.shape
-    wide = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    levels = -(-width // 8)
+    wide = np.zeros((n, levels * 8), np.uint8)
     wide[:, :width] = rows
-    keys = wide.view(">u8").astype(np.uint64)
-    order = np.argsort(keys[:, 0], kind="stable")
-    run = np.zeros(n, np.int64)
-    run[1:] = np.cumsum(keys[order[1:], 0] != keys[order[:-1], 0])
-    for level in range(1, keys.shape[1]):
-        size = np.bincount(run, minlength=1)
-        tied = np.flatnonzero(size[run] > 1)
-        if not len(tied):
-            break
-        own = order[tied]
-        order[tied] = own[np.lexsort((keys[own, level], run[tied]))]
-        new = np.zeros(n, np.int64)
-        same = run[1:] == run[:-1]
-        new[1:] = ~same | (keys[order[1:], level] != keys[order[:-1], level])
-        run = np.cumsum(new)
+    keys = np.ascontiguousarray(wide.view(">u8").astype(np.uint64).T)
+    order = np.arange(n)
+    whole = wide.view(f"V{levels * 8}").ravel()
+    stack = [(0, n, 0)]
+    while stack:
+        first, end, level = stack.pop()
+        if end - first < 2 or level == levels:
+            continue
+        own = order[first:end]
+        if end - first < SMALL_SEGMENT:
+            text = [x.tobytes() for x in whole[own]]
+            order[first:end] = own[sorted(range(len(text)), key=text.__getitem__)]
+            continue
+        letter = keys[level][own]
+        # the median of nine rows spread over the segment
+        pivot = np.sort(letter[np.linspace(0, len(own) - 1, 9).astype(np.int64)])[4]
+        below, at = letter < pivot, letter == pivot
+        low, mid = first + int(np.count_nonzero(below)), int(np.count_nonzero(at))
+        order[first:end] = np.concatenate([own[below], own[at], own[~(below | at)]])
+        stack += [(first, low, level), (low, low + mid, level + 1), (low + mid, end, level)]
     return order
 
 
@@ -122,6 +134,22 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 KEPT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
+def tie_numbers(own: Distinct) -> np.ndarray:
+    """Each distinct text's number among those of the group with its id, by
+    their bytes: with the id it names the text, whatever the order of the rows."""
+    out = np.zeros(len(own.first), np.int64)
+    begin = np.flatnonzero(np.append(True, own.first[1:] != own.first[:-1])) if len(out) else []
+    for a, z in zip(begin, [*begin[1:], len(out)], strict=True):
+        if z - a > 1:
+            texts = [x.as_buffer().to_pybytes() for x in own.texts.slice(a, z - a)]
+            out[a + np.array(sorted(range(len(texts)), key=texts.__getitem__))] = np.arange(len(texts))
+    return out
+
+
+#: A place travels with its text's tie number above it; a text has less than 2**31 bytes.
+TIE_BITS = 32
+
+
 def prefix_hashes(rows: np.ndarray):
     """A function that gives the hashes of the leading n bytes of the rows."""
     sums = np.zeros((rows.shape[1] + 1, len(rows)), np.uint64)
@@ -194,13 +222,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
     def suffixes(texts: pa.Table, recurring: pa.Table) -> pa.Table:
         own = distinct_texts(texts)
         known = Lookup(returned_keys(recurring, buckets)[0])
+        ties = tie_numbers(own)
         parts = []
         for first, buf, off in own.slices():
             at, keys = chosen_suffixes(buf, off, gram, length)
             at = at[known(reduced(keys, buckets))[0]]
             rows, left, right = contexts(buf, off, at, shape.before, length)
             text = np.searchsorted(off, at, side="right") - 1
-            parts.append((rows, left, right, own.first[first + text], at - off[text]))
+            parts.append((rows, left, right, own.first[first + text], at - off[text] + (ties[first + text] << TIE_BITS)))
         if not parts or not sum(len(p[1]) for p in parts):
             return _table([])
         rows, left, right, doc, place = (np.concatenate([p[k] for p in parts]) for k in range(5))
@@ -289,9 +318,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
         cells = [from_blob(n, x, "<i8", "<i8", "<u8") for n, x in zip(hits.column("n").to_pylist(), hits.column("data").to_pylist(), strict=True)]
         doc, place = (np.concatenate([np.zeros(0, np.int64), *[c[k] for c in cells]]) for k in range(2))
         mask = np.concatenate([np.zeros(0, np.uint64), *[c[2] for c in cells]])
-        order = np.argsort(doc, kind="stable")
-        doc, place, mask = doc[order], place[order], mask[order]
-        begin, end = np.searchsorted(doc, own.first, side="left"), np.searchsorted(doc, own.first, side="right")
+        # the text that a hit is meant for: the one of its number among those with its id
+        by_tie = np.empty(len(own.first), np.int64)
+        by_tie[np.searchsorted(own.first, own.first) + tie_numbers(own)] = np.arange(len(own.first))
+        text = by_tie[np.searchsorted(own.first, doc) + (place >> TIE_BITS)]
+        place &= (1 << TIE_BITS) - 1
+        order = np.argsort(text, kind="stable")
+        text, place, mask = text[order], place[order], mask[order]
+        begin, end = (np.searchsorted(text, np.arange(len(own.first)), side=x) for x in ("left", "right"))
         raw = own.texts.cast(pa.binary())
         spans, kept = [], []
         for i in range(len(own.first)):
@@ -304,7 +338,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
             change = np.zeros(len(text) + 1, np.int64)
             for b in range(shape.before + 1):
                 start = at[(bits >> U(b)) & U(1) == 1] - b
-                start = start[(start >= 0) & (start + length <= len(text))]  # another text may have the same id
                 np.add.at(change, start, 1)
                 np.add.at(change, start + length, -1)
             gone = np.cumsum(change[:-1]) > 0

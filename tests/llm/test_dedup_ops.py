@@ -1,6 +1,7 @@
 """Operators 4, 6 and 7 against brute force."""
 
 import collections
+import random
 import re
 
 import numpy as np
@@ -109,6 +110,22 @@ def test_hot_copies_are_set_apart_and_still_answered(spark):
     assert len(raw[99].kept) == 0 and bytes(raw[200].kept) == b"other "
 
 
+@pytest.mark.parametrize("group_bytes", [None, 500])
+def test_equal_ids_with_different_texts(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(_groups.group_texts, "__defaults__", (group_bytes, "doc_id", "text"))
+    rng = random.Random(4)
+    noise = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    shared, other = noise(30), noise(25)
+    rows = [(1, f"{noise(20)} {shared} {noise(30)}"), (9, f"{other} {noise(9)} {shared}")]
+    rows += [(5, f"{noise(40 + i)} {shared if i % 3 == 0 else other if i % 3 == 1 else noise(22)} {noise(20)}") for i in range(12)]
+    rows += [(5, rows[2][1]), (7, f"{other} {other}"), (7, other), (9, noise(70)), (9, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(docs).collect())
+    assert got == expected_bytes(rows)
+    assert sorted(tuple(r) for r in substring_dedup.remove_repeats(docs).collect()) == expected_words(rows)
+    assert sorted(tuple(r) for r in jaccard_join.near_duplicates(docs).collect()) == expected_classes(rows)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup.remove_repeats(empty).count() == 0
@@ -119,10 +136,13 @@ def test_empty_tables(spark):
 
 def test_multikey_order_sorts_like_bytes():
     rng = np.random.default_rng(1)
-    rows = rng.integers(0, 3, (500, 21)).astype(np.uint8)
-    rows[100:200] = rows[:100]
-    order = suffix_dedup.multikey_order(rows)
-    assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows)
+    for n in (0, 1, 5, 500, 4000):
+        rows = rng.integers(0, 3, (n, 21)).astype(np.uint8)
+        rows[n // 5 : n // 2] = rows[: n // 2 - n // 5]
+        rows[n // 2 :, : rng.integers(8, 21)] = 1
+        order = suffix_dedup.multikey_order(rows)
+        assert sorted(order.tolist()) == list(range(n))
+        assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows)
 
 
 def test_blocks_search_like_all_pairs():
