@@ -97,11 +97,19 @@ ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         FROM part WHERE p_size > 45"""),
     "item_texts_src": ((), """
         SELECT 'doc ' || CAST(doc_id AS VARCHAR) AS book_title, text AS description FROM documents"""),
+    "asked_titles": ((), """
+        SELECT CASE WHEN doc_id % 100 = 0 THEN 'DOC ' ELSE 'doc ' END || CAST(doc_id AS VARCHAR)
+               || CASE WHEN doc_id % 350 = 50 THEN ' volume two' ELSE '' END AS query
+        FROM documents WHERE doc_id % 50 = 0"""),
     "catalog": ((), """
         SELECT CASE WHEN doc_id % 2 = 1 THEN 'Part ' || CAST(doc_id AS VARCHAR)
                     ELSE 'part ' || CAST(doc_id AS VARCHAR) || ' collector edition' END AS title,
                text AS description
         FROM documents"""),
+    "worded_books": ((), """
+        SELECT array_to_string(string_split(text, ' ')[1:8], ' ') AS book_title, CAST(NULL AS VARCHAR) AS description FROM documents"""),
+    "worded_catalog": ((), """
+        SELECT array_to_string(string_split(text, ' ')[3:9], ' ') AS title, text AS description FROM documents"""),
     "review_texts": ((), """
         SELECT doc_id AS id, CASE WHEN doc_id % 50 = 7 THEN NULL ELSE text END AS review_text FROM documents"""),
     "event_interactions": ((), """

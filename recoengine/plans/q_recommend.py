@@ -9,16 +9,12 @@ from recoengine.functions.numeric import round6
 from recoengine.operators import content
 from recoengine.plans import roles as R
 from recoengine.plans.queries import register
-from recoengine.session import literal_rows
 from recoengine.sources import io
 
-# Query titles for the similarity report (parameters, like a user's request).
-QUERY_TITLES = ("doc 1", "DOC 42", "Doc 500", "doc 99999999")
 _STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
-_Q_SQL = ", ".join(f"('{q}')" for q in QUERY_TITLES)
 
 ITEMS_SQL = """
-    items AS (
+    items AS MATERIALIZED (
       SELECT book_title,
              trim(regexp_replace(regexp_replace(lower(concat_ws(' ', d, book_title)), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS text_clean
       FROM (SELECT book_title, CASE WHEN description IS NULL OR length(description) < 20 THEN book_title ELSE description END AS d
@@ -27,11 +23,12 @@ ITEMS_SQL = """
                   FROM (SELECT DISTINCT book_title, description FROM item_texts_src WHERE book_title IS NOT NULL))
             WHERE rn = 1))"""
 TFIDF_SQL = ITEMS_SQL + f""",
-    toks AS (SELECT book_title, unnest(string_split_regex(text_clean, '\\s')) AS term FROM items),
-    tf AS (SELECT book_title, term, count(*) AS tf FROM toks WHERE lower(term) NOT IN ({_STOP_SQL}) GROUP BY book_title, term),
+    toks AS (SELECT book_title, unnest(string_split(text_clean, ' ')) AS term FROM items),
+    tf AS MATERIALIZED (SELECT book_title, term, count(*) AS tf FROM toks WHERE lower(term) NOT IN ({_STOP_SQL}) GROUP BY book_title, term),
     nn AS (SELECT count(*) AS n FROM items),
-    idf AS (SELECT term, ln((max(nn.n) + 1.0) / (count(*) + 1.0)) AS idf FROM tf, nn GROUP BY term),
-    wt AS (SELECT tf.book_title, tf.term, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term) WHERE idf.idf > 0)"""
+    dfs AS MATERIALIZED (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    idf AS (SELECT term, ln((nn.n + 1.0) / (df + 1.0)) AS idf FROM dfs, nn),
+    wt AS MATERIALIZED (SELECT tf.book_title, tf.term, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term) WHERE idf.idf > 0)"""
 
 
 def _items(spark, d):
@@ -75,7 +72,7 @@ def con_5(spark, d):
 
 SIMILAR_SQL = TFIDF_SQL + f""",
     nr AS (SELECT book_title, sqrt(sum(w * w)) AS norm FROM wt GROUP BY book_title),
-    q AS (SELECT DISTINCT query FROM (VALUES {_Q_SQL}) t(query)),
+    q AS (SELECT DISTINCT query FROM asked_titles),
     rq AS (SELECT q.query, min(i.book_title) AS matched_title FROM q JOIN items i ON lower(i.book_title) = lower(q.query) GROUP BY q.query),
     dots AS (SELECT rq.query, b.book_title, sum(a.w * b.w) AS dot
              FROM rq JOIN wt a ON a.book_title = rq.matched_title JOIN wt b ON a.term = b.term GROUP BY rq.query, b.book_title),
@@ -89,17 +86,16 @@ SIMILAR_SQL = TFIDF_SQL + f""",
 
 
 def _similar(spark, d):
-    queries = literal_rows(spark, [(q,) for q in QUERY_TITLES], ["query"])
-    return content.similar_items(_items(spark, d), queries, k=20)
+    return content.similar_items(_items(spark, d), R.asked_titles(spark, d), k=20)
 
 
 @register(
     "CON_6_7_similar_items",
     f"WITH {SIMILAR_SQL}\nSELECT query, matched_title, rank, book_title, round(similarity, 6) + 0.0 AS similarity FROM ranked WHERE rank <= 20",
-    ("item_texts_src",),
+    ("item_texts_src", "asked_titles"),
 )
 def con_6(spark, d):
-    """CON-6/7 + TOP-4: top-20 similar items for each query title."""
+    """CON-6/7 + TOP-4: top-20 similar items among all for each title asked for."""
     s = _similar(spark, d)
     return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))
 
@@ -108,7 +104,7 @@ def con_6(spark, d):
     "SNK_4_recommendations_json",
     f"""WITH {SIMILAR_SQL}
     SELECT query, matched_title, rank, book_title AS title, round(similarity, 6) + 0.0 AS similarity_score FROM ranked WHERE rank <= 20""",
-    ("item_texts_src",),
+    ("item_texts_src", "asked_titles"),
 )
 def snk_4(spark, d):
     """SNK-4 + CON-7: nested result rows written as JSON and read back."""
@@ -121,12 +117,12 @@ def snk_4(spark, d):
 @register(
     "CON_6_unknown_titles",
     f"""WITH {ITEMS_SQL}
-    SELECT DISTINCT query, 'title not found' AS error FROM (VALUES {_Q_SQL}) t(query)
+    SELECT DISTINCT query, 'title not found' AS error FROM asked_titles
     WHERE NOT EXISTS (SELECT 1 FROM items i WHERE lower(i.book_title) = lower(query))""",
-    ("item_texts_src",),
+    ("item_texts_src", "asked_titles"),
 )
 def con_6_unknown(spark, d):
-    return content.unknown_titles(_items(spark, d), literal_rows(spark, [(q,) for q in QUERY_TITLES], ["query"]))
+    return content.unknown_titles(_items(spark, d), R.asked_titles(spark, d))
 
 
 # ------------------------------------------------------- collaborative filtering
@@ -411,6 +407,36 @@ def enr_2(spark, d):
     return enrich.lookup_descriptions(_enr_books(spark, d), R.catalog(spark, d))
 
 
+@register(
+    "ENR_2_token_overlap",
+    f"""WITH keys AS (SELECT DISTINCT clean_title FROM (SELECT {STRICT.format(c='book_title')} AS clean_title FROM worded_books) WHERE clean_title <> ''),
+    cat AS (SELECT * FROM (SELECT {STRICT.format(c='title')} AS ck, description AS cd FROM worded_catalog) WHERE ck <> '' AND length(cd) > 60),
+    cks AS (SELECT DISTINCT ck FROM cat),
+    cw AS (SELECT DISTINCT ck, unnest(string_split(ck, ' ')) AS word FROM cks),
+    kw AS (SELECT DISTINCT clean_title, unnest(string_split(clean_title, ' ')) AS word FROM keys),
+    df AS (SELECT word, count(*) AS df FROM cw GROUP BY word),
+    nc AS (SELECT count(*) AS n FROM cks),
+    wt AS (SELECT w.word, 1 + CAST(floor(1000 * ln((n + 1.0) / (coalesce(df, 0) + 1.0))) AS BIGINT) AS weight
+           FROM (SELECT word FROM cw UNION SELECT word FROM kw) w LEFT JOIN df USING (word), nc),
+    ct AS (SELECT ck, sum(weight) AS total FROM cw JOIN wt USING (word) GROUP BY ck),
+    kt AS (SELECT clean_title, sum(weight) AS total FROM kw JOIN wt USING (word) GROUP BY clean_title),
+    sh AS (SELECT clean_title, ck, sum(weight) AS shared FROM kw JOIN cw USING (word) JOIN wt USING (word) GROUP BY ALL),
+    sc AS (SELECT clean_title, ck, CAST(shared AS DOUBLE) / CAST(kt.total + ct.total - shared AS DOUBLE) AS overlap FROM sh JOIN kt USING (clean_title) JOIN ct USING (ck)),
+    best AS (SELECT *, row_number() OVER (PARTITION BY clean_title ORDER BY clean_title = ck DESC, overlap DESC, ck) AS rn FROM sc WHERE overlap >= 0.5),
+    texts AS (SELECT ck, cd, row_number() OVER (PARTITION BY ck ORDER BY length(cd) DESC, cd) AS rn FROM cat)
+    SELECT clean_title, cd AS new_description, CAST(CASE WHEN clean_title = ck THEN 1 ELSE 2 END AS INTEGER) AS tier, round(overlap, 6) + 0.0 AS overlap
+    FROM best JOIN texts USING (ck) WHERE best.rn = 1 AND texts.rn = 1""",
+    ("worded_books", "worded_catalog"),
+)
+def enr_2_overlap(spark, d):
+    """ENR-2 with tier 2 by the best token overlap, for all books."""
+    from recoengine.functions.text import title_key_strict
+
+    books = R.worded_books(spark, d).withColumn("clean_title", title_key_strict("book_title"))
+    found = enrich.lookup_by_overlap(books, R.worded_catalog(spark, d))
+    return found.select("clean_title", "new_description", "tier", round6("overlap").alias("overlap"))
+
+
 @register(
     "ENR_3_apply",
     f"""WITH {ENR_SQL},
@@ -466,8 +492,8 @@ ENRICHED_SIMILAR_SQL = (
         SELECT *, row_number() OVER (PARTITION BY book_title ORDER BY length(final_description) DESC NULLS LAST,
                                      final_description ASC NULLS LAST) AS rn FROM fin) WHERE rn = 1),"""
     + SIMILAR_SQL.replace("item_texts_src", "enriched_src").replace(
-        f"q AS (SELECT DISTINCT query FROM (VALUES {_Q_SQL}) t(query))",
-        "q AS (SELECT book_title AS query FROM pop ORDER BY review_count DESC, avg_rating DESC NULLS LAST, book_title ASC LIMIT 3)",
+        "q AS (SELECT DISTINCT query FROM asked_titles)",
+        "q AS (SELECT DISTINCT book_title AS query FROM rated_books WHERE CAST(substr(book_title, 6) AS BIGINT) % 50 = 0)",
     )
     + "\nSELECT query, matched_title, rank, book_title, round(similarity, 6) + 0.0 AS similarity FROM ranked WHERE rank <= 20"
 )
@@ -476,10 +502,11 @@ ENRICHED_SIMILAR_SQL = (
 @register("CON_6_7_on_enriched_books", ENRICHED_SIMILAR_SQL, ("rated_books", "catalog"))
 def con_6_enriched(spark, d):
     """The application's own chain: ENR-1..3 (all books, catalogue
-    descriptions) → CON-1..7, queried with the three most popular titles."""
+    descriptions) → CON-1..7, queried with every title whose number is
+    divisible by 50."""
     rated = R.rated_books(spark, d)
     books = enrich.enrich_books(rated, R.catalog(spark, d)).withColumnRenamed("final_description", "description")
-    queries = enrich.top_popular(rated, 3).select(F.col("book_title").alias("query"))
+    queries = rated.filter(F.substring("book_title", 6, 20).cast("long") % 50 == 0).select(F.col("book_title").alias("query"))
     s = content.similar_items(content.item_texts(books), queries, k=20)
     return s.select("query", "matched_title", "rank", "book_title", round6("similarity").alias("similarity"))
 

@@ -167,6 +167,14 @@ def item_texts_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.concat(F.lit("doc "), _s("doc_id")).alias("book_title"), F.col("text").alias("description"))
 
 
+def asked_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that users ask for: the documents whose id is divisible by 50,
+    in different case, some of them of no item."""
+    d = table(spark, sf_dir, "documents").filter("doc_id % 50 = 0")
+    case = F.when(F.col("doc_id") % 100 == 0, "DOC ").otherwise("doc ")
+    return d.select(F.concat(case, _s("doc_id"), F.when(F.col("doc_id") % 350 == 50, " volume two").otherwise("")).alias("query"))
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     title = F.when(
@@ -175,6 +183,18 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(title.alias("title"), F.col("text").alias("description"))
 
 
+def worded_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books without descriptions; a title is the first words of a document."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.array_join(F.slice(F.split("text", " "), 1, 8), " ").alias("book_title"), F.lit(None).cast("string").alias("description"))
+
+
+def worded_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue whose titles are other words of the same documents."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.array_join(F.slice(F.split("text", " "), 3, 7), " ").alias("title"), F.col("text").alias("description"))
+
+
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts to score: ``documents`` with NULL text planted on a rule."""
     d = table(spark, sf_dir, "documents")
