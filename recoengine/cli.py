@@ -64,8 +64,15 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--top", type=int, default=0, help="only the most popular titles (0: all)")
 
-    s = sub.add_parser("recommend")
+    s = sub.add_parser("train")
     s.add_argument("--input", required=True)
+    s.add_argument("--model", required=True, help="folder of stored models; a new version is added")
+    s.add_argument("--metrics-out", help="where to write the hold-out RMSE/MAE")
+
+    s = sub.add_parser("recommend")
+    source = s.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input")
+    source.add_argument("--model", help="folder of stored models: serve from the newest, without a fit")
     s.add_argument("--out", required=True)
     s.add_argument("--users", help="table with a user_id column; all users if omitted")
     s.add_argument("--k", type=int, default=100)
@@ -121,6 +128,25 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
         from recoengine.operators.enrich import enrich_books
 
         write(enrich_books(read(args.input), read(args.catalog), args.top or None), args.out)
+    elif args.stage == "train":
+        from recoengine.operators.cf import fit_model
+
+        model, errors = fit_model(read(args.input))
+        model.save(args.model)
+        if args.metrics_out:
+            write(errors, args.metrics_out)
+    elif args.stage == "recommend" and args.model:
+        from recoengine.operators.cf import FactorModel, pick_user, recommend, user_history
+
+        model = FactorModel.load(spark, args.model)
+        users = read(args.users).select("user_id") if args.users else None
+        if args.pick_user or args.history_out:
+            named = model.ratings.join(model.users, "user_index").join(model.items, "book_index")
+        if args.pick_user:
+            users = pick_user(named).select("user_id")
+        write(recommend(model, users, args.k, args.n), args.out)
+        if args.history_out:
+            write(user_history(named, users), args.history_out)
     elif args.stage == "recommend":
         from recoengine.operators.cf import pick_user, prepare_labels, recommend_for_users, user_history
 

@@ -10,13 +10,15 @@ per-user ``row_number``.  Ids are indexed by a distributed dense index
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recoengine.operators.factor_search import best_unseen
 from recoengine.operators.profile import user_activity
 from recoengine.operators.ranking import dense_index, first_per_key, top_n_per_group
 from recoengine.operators.skew import split_join
@@ -266,34 +268,15 @@ def candidates(model: ALSModel, users: DataFrame | None = None, k: int = 100) ->
     )
 
 
-def unseen_candidates(model: ALSModel, history: DataFrame, users: DataFrame | None = None, k: int = 100) -> DataFrame:
-    """CF-6 with JOI-6: each user's top ``k`` items among those not seen.
-
-    A user who has seen ``s`` items finds ``k`` unseen ones among the top
-    ``k + s``.  Users are dealt by ``s`` into classes with growing bounds
-    (0, 1-4, 5-16, ...), and each class asks the model for ``k`` plus its
-    bound, so a reader of thousands of books costs others nothing.  One small
-    job finds the largest ``s``.  ``history`` is ``(user_index, book_index)``.
-    """
-    seen = history.select("user_index", "book_index").distinct()
-    n_seen = seen.groupBy("user_index").agg(F.count(F.lit(1)).alias("n_seen"))
-    known = model.userFactors.select(F.col("id").alias("user_index"))
+def unseen_candidates(model: FactorModel | ALSModel, history: DataFrame, users: DataFrame | None = None, k: int = 100) -> DataFrame:
+    """CF-6 with JOI-6: each user's top ``k`` items among those not seen, in
+    one search for all users (:mod:`recoengine.operators.factor_search`).
+    ``history`` is ``(user_index, book_index)``."""
+    factors = model.userFactors
     if users is not None:
-        known = known.join(users.select("user_index").distinct(), "user_index", "left_semi")
-    counted = known.join(n_seen, "user_index", "left").select("user_index", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
-    most = counted.agg(F.max("n_seen")).first()[0]
-    if most is None:
-        return candidates(model, known, k)
-    bounds = [0]
-    while bounds[-1] < most:
-        bounds.append(max(4, 4 * bounds[-1]))
-    out = None
-    for low, bound in zip([-1, *bounds[:-1]], bounds):
-        subset = counted.filter((F.col("n_seen") > low) & (F.col("n_seen") <= bound)).select("user_index")
-        part = candidates(model, subset, k + bound)
-        out = part if out is None else out.unionByName(part)
-    order = [F.col("cf_score").desc(), F.col("book_index").asc()]
-    return top_n_per_group(exclude_seen(out, seen, ("user_index", "book_index")), ["user_index"], order, k)
+        wanted = users.select(F.col("user_index").alias("id")).distinct()
+        factors = factors.join(wanted, "id", "left_semi")
+    return best_unseen(factors, model.itemFactors, history, k)
 
 
 def prepare_labels(df: DataFrame) -> DataFrame:
@@ -312,22 +295,43 @@ def prepare_labels(df: DataFrame) -> DataFrame:
     return out.na.drop(subset=["user_id", "book_title", "label_rating"])
 
 
-def recommend_for_users(
-    df: DataFrame,
-    users: DataFrame | None = None,
-    params: AlsParams = AlsParams(),
-    k: int = 100,
-    n: int = 20,
-    train_fraction: float = 0.8,
-    author_boost: float = 1.0,
-    genre_boost: float = 0.5,
-) -> tuple[DataFrame, DataFrame]:
-    """CF-10: the whole flow for a set of users (all users when None).
-
-    Returns ``(recommendations, errors)``: the top ``n`` re-ranked items per
-    user and the hold-out RMSE/MAE.  Checkpointing the labelled ratings, the
-    two id indexes and fitting the model run jobs when this is called.
-    """
+@dataclass
+class FactorModel:
+    """What serving needs, as tables: the factors ``(id, features)``, the id
+    indexes, the indexed labelled ratings and one row of metadata per item."""
+
+    userFactors: DataFrame
+    itemFactors: DataFrame
+    users: DataFrame  # user_id, user_index
+    items: DataFrame  # book_title, book_index
+    ratings: DataFrame  # user_index, book_index, label_rating and metadata
+    meta: DataFrame
+
+    TABLES = ("userFactors", "itemFactors", "users", "items", "ratings", "meta")
+
+    def save(self, path: str) -> str:
+        """Write all tables under a new version of ``path`` and name it in
+        ``versions`` last, so that readers never meet half a model.  Returns the version."""
+        spark = self.users.sparkSession
+        version = uuid.uuid4().hex
+        for name in self.TABLES:
+            getattr(self, name).write.parquet(f"{path}/{version}/{name}")
+        row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("saved"))
+        row.write.mode("append").parquet(f"{path}/versions")
+        return version
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, version: str | None = None) -> FactorModel:
+        """The tables of a version (the newest by default)."""
+        if version is None:
+            newest = spark.read.parquet(f"{path}/versions").orderBy(F.col("saved").desc(), "version").first()
+            version = newest.version
+        return cls(*[spark.read.parquet(f"{path}/{version}/{name}") for name in cls.TABLES])
+
+
+def fit_model(df: DataFrame, params: AlsParams = AlsParams(), train_fraction: float = 0.8) -> tuple[FactorModel, DataFrame]:
+    """CF-1..5: ``(model, hold-out errors)``.  Checkpointing the labelled
+    ratings, the two id indexes and fitting the model run jobs when this is called."""
     # The labelled ratings feed the indexes, the split, the metadata, the seen
     # set and both preference tables.  They are thin rows (ids, label,
     # author, category), so they are checkpointed to the shared folder: read
@@ -343,21 +347,42 @@ def recommend_for_users(
     # tables; the files are removed with the frame (cleanCheckpoints)
     indexed = indexed.checkpoint(eager=True)
     train, test = split(indexed, train_fraction, params.seed)
-    model = train_als(train.select("user_index", "book_index", "label_rating"), params)
-    errors = rating_errors(predict(model, test))
-    subset = None if users is None else users.join(user_idx, "user_id").select("user_index").distinct()
+    als = train_als(train.select("user_index", "book_index", "label_rating"), params)
+    ratings = indexed.drop("user_id", "book_title")
+    model = FactorModel(als.userFactors, als.itemFactors, user_idx, item_idx, ratings, item_metadata(ratings, item_col="book_index"))
+    return model, rating_errors(predict(als, test))
+
+
+def recommend(model: FactorModel, users: DataFrame | None = None, k: int = 100, n: int = 20, author_boost: float = 1.0, genre_boost: float = 0.5) -> DataFrame:
+    """CF-6..10 from a model, fitted just now or loaded: the top ``n``
+    re-ranked items of some users (``user_id``; all when None)."""
+    subset = None if users is None else users.join(model.users, "user_id").select("user_index").distinct()
     # Re-rank in index space (integer keys for the seen set, metadata and
     # preferences), and map back to the string ids only after the top-n cut:
     # k/n times fewer rows go through the two id joins.  Exact score ties are
     # broken by item index (frequency order) here, not by title.
-    meta = item_metadata(indexed, item_col="book_index")
     # Seen items and preferences are per user: for a user subset, only the
     # subset's own ratings are needed (a semi-join AQE can broadcast), so
     # serving one user does not shuffle everyone's ratings.
-    history = indexed if subset is None else indexed.join(subset, "user_index", "left_semi")
+    history = model.ratings if subset is None else model.ratings.join(subset, "user_index", "left_semi")
     cands = unseen_candidates(model, history, subset, k)
-    ranked = rerank(
-        cands, history, meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index"
-    )
-    recs = ranked.join(user_idx, "user_index").join(item_idx, "book_index").drop("user_index", "book_index")
-    return recs, errors
+    ranked = rerank(cands, history, model.meta, author_boost, genre_boost, n, user_col="user_index", item_col="book_index")
+    return ranked.join(model.users, "user_index").join(model.items, "book_index").drop("user_index", "book_index")
+
+
+def recommend_for_users(
+    df: DataFrame,
+    users: DataFrame | None = None,
+    params: AlsParams = AlsParams(),
+    k: int = 100,
+    n: int = 20,
+    train_fraction: float = 0.8,
+    author_boost: float = 1.0,
+    genre_boost: float = 0.5,
+) -> tuple[DataFrame, DataFrame]:
+    """CF-10: the whole flow for a set of users (all users when None).
+
+    Returns ``(recommendations, errors)``: the top ``n`` re-ranked items per
+    user and the hold-out RMSE/MAE (see :func:`fit_model` and :func:`recommend`)."""
+    model, errors = fit_model(df, params, train_fraction)
+    return recommend(model, users, k, n, author_boost, genre_boost), errors

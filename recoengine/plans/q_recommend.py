@@ -348,6 +348,16 @@ def cf_10_checks(spark, d):
     return cf.recommendation_checks(recs, ratings)
 
 
+@register("CF_10_stored_model_checks", f"WITH {LABELS_SQL}\n{CHECKED_SQL}", ("cf_ratings",))
+def cf_10_stored(spark, d):
+    """CF-3..10 with the model stored and loaded again: served for all users
+    without a fit, checked as CF_6_10_checks."""
+    ratings = R.cf_ratings(spark, d)
+    path = io.scratch_path(spark, "cf_model")
+    cf.fit_model(ratings)[0].save(path)
+    return cf.recommendation_checks(cf.recommend(cf.FactorModel.load(spark, path)), ratings)
+
+
 @register(
     "CF_10_picked_user_checks",
     f"""WITH {LABELS_SQL}, picked AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -81,6 +82,15 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.split("[")[0] == "local"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Put this package on the Python workers' path (a cluster that ships it
+    with ``--py-files`` needs no path)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def reused(df):
     """Persist a frame that one plan reads more than once (memory, spilling
     to disk).  Differently pruned branches of a plan do not share exchanges,

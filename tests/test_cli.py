@@ -48,6 +48,11 @@ def test_cli_from_csv_with_junk_numbers(spark, tmp_path):
     recs = io.read_csv_strings(spark, p("recs")).collect()
     assert len(recs) == 3 and len({r.user_id for r in recs}) == 1
     assert {r.user_id for r in io.read_csv_strings(spark, p("history")).collect()} == {recs[0].user_id}
+    cli.run([*fmt, "train", "--input", p("ratings"), "--model", p("model"), "--metrics-out", p("errors")], spark)
+    cli.run([*fmt, "recommend", "--model", p("model"), "--out", p("served"), "--n", "3", "--pick-user", "--history-out", p("history2")], spark)
+    served = io.read_csv_strings(spark, p("served")).collect()
+    assert sorted(map(str, served)) == sorted(map(str, recs))
+    assert {r.user_id for r in io.read_csv_strings(spark, p("history2")).collect()} == {recs[0].user_id}
 
 
 def test_corrupt_csv_records_are_kept_and_counted(spark, tmp_path):
