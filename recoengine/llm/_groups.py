@@ -4,8 +4,10 @@ A group is a bounded share of the texts: its mean size grows with the root of
 the corpus between 4 and 64 MiB (``group_bytes`` sets it), so that both the groups and
 the cells that groups send to buckets stay few.  Several groups may share a partition.  Equal
 texts fall into one group, where one of them stands for all; the further
-copies of a text with very many of them are set apart before the shuffle.  The
-shuffled texts are used by several steps of one plan, which share the exchange.
+copies of a text with very many of them are set apart before the shuffle.  Copies
+that share the least id (or have none, all of them) are results of their own, the same
+in every group: they are dealt by the partition they are read in, so a group holds
+no more of them than its share, or one partition's.  The shuffled texts are used by several steps of one plan, which share the exchange.
 
 Keys (64-bit hashes) go to buckets once per group, whatever the number of
 texts that hold them there, so a key of a third of all texts costs as many
@@ -52,10 +54,12 @@ def group_texts(docs: DataFrame, group_bytes: int | None = None, id_col: str = "
     buckets = min(groups, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
     keyed = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text"), "k3": F.octet_length("text")})
     # more than n / MOST_HOT copies each: at most MOST_HOT texts, whose numbers are broadcast
-    hot = keyed.groupBy("k1", "k2", "k3").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter((F.col("n") > max(64, n // MOST_HOT)) & F.col("first").isNotNull())
-    marked = keyed.join(F.broadcast(cut(hot.drop("n"))), ["k1", "k2", "k3"], "left")
-    further = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))
-    texts = marked.filter(~further).select(F.pmod("k1", F.lit(groups)).cast("int").alias("grp"), "doc_id", "text")
+    hot = keyed.groupBy("k1", "k2", "k3").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter(F.col("n") > max(64, n // MOST_HOT))
+    marked = keyed.join(F.broadcast(cut(hot.withColumn("hot", F.lit(True)).drop("n"))), ["k1", "k2", "k3"], "left")
+    is_hot = F.coalesce("hot", F.lit(False))
+    further = is_hot & ~F.col("doc_id").eqNullSafe(F.col("first"))
+    dealt = F.when(is_hot, F.xxhash64("k1", F.spark_partition_id())).otherwise(F.col("k1"))
+    texts = marked.filter(~further).select(F.pmod(dealt, F.lit(groups)).cast("int").alias("grp"), "doc_id", "text")
     return Grouped(texts.repartition(min(groups, MOST_PARTITIONS), "grp"), marked.filter(further).select("doc_id", "first", "text"), buckets)
 
 

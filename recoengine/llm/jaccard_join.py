@@ -334,6 +334,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_percent: int =
     rule = Rule(threshold_percent)
     found = cut(_candidates(docs, shingle, rule, id_col, text_col))
     sets = found.filter("shingles is not null")
+    if not sets.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # a text of very many rows that share its least id has a set in several groups
+        sets = cut(sets.dropDuplicates(["doc_id", "shingles"]))
     edges = sets.select(F.col("doc_id").alias("a"), F.explode("rare").alias("token")).select("a", (F.col("token").bitwiseAND(SHINGLE_NODE - 1) + F.lit(SHINGLE_NODE)).alias("b"))
     blocks = connected_components(edges).filter(F.col("node") < SHINGLE_NODE)
     counted = blocks.groupBy("component").count().filter("count > 1")

@@ -9,6 +9,7 @@ import pytest
 
 from recoengine.llm import _groups, jaccard_join, substring_dedup, suffix_dedup
 
+LAST = _groups.LAST_ID
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -110,6 +111,33 @@ def test_hot_copies_are_set_apart_and_still_answered(spark):
     assert len(raw[99].kept) == 0 and bytes(raw[200].kept) == b"other "
 
 
+@pytest.mark.parametrize("shared_id", [None, 5])
+def test_hot_copies_that_share_an_id_are_spread(spark, monkeypatch, shared_id):
+    """A third of all rows are one text under one id, or under none."""
+    monkeypatch.setattr(_groups.group_texts, "__defaults__", (4000, "doc_id", "text"))
+    rng = random.Random(8)
+    noise = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    text, passage = noise(40), noise(20)
+    text = f"{text} {passage}"
+    rows = [(shared_id, text)] * 400 + [(10 + i, noise(12)) for i in range(780)]
+    rows += [(1, f"{noise(9)} {passage} {noise(9)}"), (900, f"{text} more"), (901, f"{noise(30)} {passage}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    grouped = _groups.group_texts(docs)
+    assert grouped.copies.count() == 0
+    sizes = [r["count"] for r in grouped.texts.filter(grouped.texts.text == text).groupBy("grp").count().collect()]
+    assert sum(sizes) == 400 and len(sizes) > 8 and max(sizes) < 120
+    filled = [(LAST if d is None else d, t) for d, t in rows]
+    back = lambda d: LAST if d is None else d
+    got = sorted((back(r.doc_id), r.n_words, r.n_removed, r.kept) for r in substring_dedup.remove_repeats(docs).collect())
+    assert got == expected_words(filled)
+    got = sorted((back(r.doc_id), r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(docs).collect())
+    assert got == expected_bytes(filled)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs).collect() if r.doc_id is not None)
+    known = [r for r in rows if r[0] is not None]
+    near = {5: 5, 900: 5} if shared_id else {}
+    assert got == sorted((d, len(t.split()) - 4, near.get(d, d)) for d, t in known)
+
+
 @pytest.mark.parametrize("group_bytes", [None, 500])
 def test_equal_ids_with_different_texts(spark, monkeypatch, group_bytes):
     monkeypatch.setattr(_groups.group_texts, "__defaults__", (group_bytes, "doc_id", "text"))
