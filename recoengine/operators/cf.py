@@ -33,6 +33,20 @@ def index_ids(df: DataFrame, col: str, out: str) -> DataFrame:
     return idx.select(col, F.col(out).cast("int").alias(out))
 
 
+def extend_index(known: DataFrame, df: DataFrame, col: str, out: str) -> DataFrame:
+    """CF-1 when rows arrive: ``known`` ``(col, out)`` as it is, and the ids of ``df``
+    that it lacks numbered on from its largest number, by frequency desc, then id.
+
+    Ids are counted before they meet the index, so no hot id is joined.  One
+    number, the largest, reaches the planner.  Rows of ``known`` keep their
+    numbers for good: what was stored under them (factors) stays valid.
+    """
+    fresh = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")).join(known.select(col), col, "left_anti")
+    first = known.agg(F.coalesce(F.max(out).cast("long") + 1, F.lit(0).cast("long"))).first()[0]
+    added = dense_index(fresh, [F.col("_cnt").desc(), F.col(col).asc()], out)
+    return known.select(col, F.col(out).cast("int").alias(out)).unionByName(added.select(col, (F.col(out) + F.lit(first)).cast("int").alias(out)))
+
+
 def add_indexes(df: DataFrame, user_col: str = "user_id", item_col: str = "book_title") -> tuple[DataFrame, DataFrame, DataFrame]:
     """CF-1 on both ids: returns (indexed rows, user index, item index)."""
     users = index_ids(df, user_col, "user_index")
@@ -329,6 +343,26 @@ class FactorModel:
         return cls(*[spark.read.parquet(f"{path}/{version}/{name}") for name in cls.TABLES])
 
 
+    def with_ratings(self, df: DataFrame) -> FactorModel:
+        """The model with further ratings (columns as for :func:`fit_model`)
+        and without a fit: the factors stay, new ids are numbered on, new
+        ratings count as seen and for the preferences.  A pair of user and item that
+        the model has keeps the rating it has; within ``df`` a pair must
+        not repeat.  Users and items of new ids have no factors until the next fit."""
+        labeled = prepare_labels(df)
+        wanted = [c for c in ("user_id", "book_title", "label_rating", "author", "categories") if c in labeled.columns]
+        ensure_checkpoint_dir(df.sparkSession)
+        labeled = labeled.select(*wanted).checkpoint(eager=True)
+        users = extend_index(self.users, labeled, "user_id", "user_index")
+        items = extend_index(self.items, labeled, "book_title", "book_index")
+        fresh = labeled.join(users, "user_id").join(items, "book_title").drop("user_id", "book_title")
+        fresh = fresh.join(self.ratings, ["user_index", "book_index"], "left_anti")
+        ratings = self.ratings.unionByName(fresh.select(*[c for c in self.ratings.columns if c in fresh.columns]), allowMissingColumns=True)
+        new_items = fresh.join(self.meta.select("book_index"), "book_index", "left_anti")
+        meta = self.meta.unionByName(item_metadata(new_items, item_col="book_index"), allowMissingColumns=True)
+        return FactorModel(self.userFactors, self.itemFactors, users, items, ratings, meta)
+
+
 def fit_model(df: DataFrame, params: AlsParams = AlsParams(), train_fraction: float = 0.8) -> tuple[FactorModel, DataFrame]:
     """CF-1..5: ``(model, hold-out errors)``.  Checkpointing the labelled
     ratings, the two id indexes and fitting the model run jobs when this is called."""

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recoengine.operators.profile import StepCounts
 from recoengine.operators.ranking import first_per_key
 from recoengine.operators.skew import split_join
 
@@ -45,6 +46,7 @@ def thin_sparse(
     min_item: int = 3,
     user_col: str = "user_id",
     item_col: str = "book_title",
+    counts: StepCounts | None = None,
 ) -> DataFrame:
     """THN-1: users with at least ``min_user`` rows, then items with at least
     ``min_item`` rows counted *after* the user filter.  One pass, not a
@@ -54,8 +56,11 @@ def thin_sparse(
     filters are semi-joins that AQE can split on a user or item holding a
     large share of the rows (:func:`recoengine.operators.skew.split_join`).
     Full rows are joined once per filter and never counted or persisted.
+    ``counts`` takes the number of rows after the user filter on the way.
     """
     by_user = thinned_users(df.select(user_col, item_col), min_user, user_col)
+    if counts:
+        by_user = counts.after(by_user, "thin_users")
     items = by_user.groupBy(item_col).count().filter(F.col("count") >= min_item).select(item_col)
     return split_join(thinned_users(df, min_user, user_col), items, [item_col], "left_semi")
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FractionalType
 
 from recoengine.functions.numeric import round6
+from recoengine.session import literal_rows
 
 
 def dataset_stats(df: DataFrame, user_col: str = "user_id", item_col: str = "book_title") -> DataFrame:
@@ -198,6 +200,43 @@ def funnel_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+class StepCounts:
+    """AGG-7 on the way: rows after each step, counted while the frame is written.
+
+    ``after`` puts an :class:`~pyspark.sql.Observation` behind a step; the action
+    that writes the frame fills all of them, so nothing is evaluated a second time, and
+    ``funnel`` gives the table of :func:`funnel` afterwards.  Only one number a
+    step reaches the driver.  Observe frames whose rows are all read, that is before a shuffle,
+    an aggregate or the write itself.  Where the optimiser finds a part of the plan to be
+    empty and leaves it out, the counts in it are missing and those steps are
+    counted by a query each.  A map task repeated after a lost executor
+    counts its rows again; where that matters, use
+    :func:`recoengine.plans.stages.stage_funnel`, a query of its own.
+    """
+
+    def __init__(self) -> None:
+        self.steps: list[tuple[str, Observation, DataFrame]] = []
+
+    def after(self, df: DataFrame, name: str) -> DataFrame:
+        seen = Observation()
+        self.steps.append((name, seen, df))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def funnel(self, spark: SparkSession) -> DataFrame:
+        """Waits for the action on the observed frame."""
+        rows = [(i, name, self._rows(seen, df)) for i, (name, seen, df) in enumerate(self.steps)]
+        counts = literal_rows(spark, rows, ["seq", "step", "rows"])
+        return funnel_from_counts(counts.select(F.col("seq").cast("int").alias("seq"), "step", F.col("rows").cast("long").alias("rows")))
+
+
+    @staticmethod
+    def _rows(seen: Observation, df: DataFrame) -> int:
+        try:
+            return int(seen.get["rows"])
+        except (KeyError, Py4JJavaError):  # left out of the plan that ran
+            return df.count()
+
+
 def nulled_counts(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG-7 companion: how many values a row-wise scrub turned into NULL.
 

@@ -32,6 +32,11 @@ these rules, not equality with any library's scores):
   conjunction ("but") count half and those after it one and a half times;
   up to four exclamation marks add 0.292 each, and two or three question marks
   0.18 each (more: 0.96), to the sum in its direction.
+* with ``phrases`` (a table) words that form a phrase are one token to all rules above:
+  it may stand in the lexicon ("kiss of death"), among the boosters ("kind of",
+  "never so") or the negators, or in none of them, so that its words count for
+  nothing ("without doubt" does not negate; nor does "at least" where "least"
+  is a negator).  :mod:`recoengine.operators.phrases` has the matching rule.
 """
 
 from __future__ import annotations
@@ -60,6 +65,7 @@ from recoengine.functions.constants import (
     QUESTION_MANY,
 )
 from recoengine.functions.text import word_tokens
+from recoengine.operators.phrases import merge_phrases
 from recoengine.operators.skew import split_join
 from recoengine.session import reused
 
@@ -73,11 +79,11 @@ def prepared_lexicon(lexicon: DataFrame, token_col: str = "token", valence_col:
     )
 
 
-def token_emphasis(df: DataFrame, keys: Sequence[str], text_col: str, contrast: Sequence[str] = CONTRAST_WORDS, lookback: int = LOOKBACK) -> DataFrame:
+def token_emphasis(df: DataFrame, keys: Sequence[str], text_col: str, contrast: Sequence[str] = CONTRAST_WORDS, lookback: int = LOOKBACK, phrases: DataFrame | None = None) -> DataFrame:
     """:func:`token_rows` with two more columns: ``__caps`` (in capitals, in a
     text that has other words too) and ``__weight`` (of the contrast rule)."""
     is_caps = lambda t: (t == F.upper(t)) & (t != F.lower(t))
-    raw = df.select(*keys, word_tokens(F.col(text_col), lower=False).alias("__raw"))
+    raw = _raw_tokens(df, keys, text_col, phrases)
     facts = raw.select(
         *keys,
         F.transform("__raw", lambda t: F.lower(t)).alias("__tokens"),
@@ -105,7 +111,13 @@ def punctuation_emphasis(text: Column) -> Column:
     return F.coalesce(loud + doubt, F.lit(0.0))
 
 
-def token_rows(df: DataFrame, keys: Sequence[str], text_col: str, lookback: int = LOOKBACK) -> DataFrame:
+def _raw_tokens(df: DataFrame, keys: Sequence[str], text_col: str, phrases: DataFrame | None) -> DataFrame:
+    if phrases is not None:
+        return merge_phrases(df, keys, text_col, phrases)
+    return df.select(*keys, word_tokens(F.col(text_col), lower=False).alias("__raw"))
+
+
+def token_rows(df: DataFrame, keys: Sequence[str], text_col: str, lookback: int = LOOKBACK, phrases: DataFrame | None = None) -> DataFrame:
     """``(keys..., tok, p1..pN)``: every token with its ``lookback`` predecessors.
 
     The predecessor columns are the token array shifted right by ``j``
@@ -113,7 +125,10 @@ def token_rows(df: DataFrame, keys: Sequence[str], text_col: str, lookback: int
     expressions, no per-token lambda.
     """
     toks = "__tokens"
-    with_toks = df.select(*keys, word_tokens(F.col(text_col)).alias(toks))
+    if phrases is None:
+        with_toks = df.select(*keys, word_tokens(F.col(text_col)).alias(toks))
+    else:
+        with_toks = _raw_tokens(df, keys, text_col, phrases).select(*keys, F.transform("__raw", lambda t: F.lower(t)).alias(toks))
     arr = F.col(toks)
     n = F.size(arr)
     shifted = [
@@ -144,6 +159,7 @@ def score_sentiment(
     reuse_input: bool = False,
     emphasis: bool = False,
     contrast: Sequence[str] = CONTRAST_WORDS,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """SEN-1/2/3: append ``out`` (double in [-1, 1]) to ``df``.
 
@@ -175,7 +191,7 @@ def score_sentiment(
     else:
         keys = list(keys)
         source = df
-    toks = token_emphasis(source, keys, text_col, contrast, len(booster_decay)) if emphasis else token_rows(source, keys, text_col, len(booster_decay))
+    toks = token_emphasis(source, keys, text_col, contrast, len(booster_decay), phrases) if emphasis else token_rows(source, keys, text_col, len(booster_decay), phrases)
     lex = prepared_lexicon(lexicon)
     hits = toks.join(lex, toks.tok == lex._tok)
     v = F.col("_val")

@@ -12,6 +12,11 @@ from recoengine.plans.roles import (
     FIXTURE_BOOSTERS_UP,
     FIXTURE_LEXICON,
     FIXTURE_NEGATORS,
+    FIXTURE_PHRASES,
+    PHRASE_BOOSTERS_DOWN,
+    PHRASE_BOOSTERS_UP,
+    PHRASE_LEXICON,
+    PHRASE_NEGATORS,
 )
 
 
@@ -25,6 +30,12 @@ _BOOST_ROWS = ", ".join(
     + [f"('{w}', CAST(-0.293 AS DOUBLE))" for w in FIXTURE_BOOSTERS_DOWN]
 )
 
+_PHRASE_LEX_ROWS = ", ".join(f"('{t}', CAST({v} AS DOUBLE))" for t, v in FIXTURE_LEXICON + PHRASE_LEXICON)
+_PHRASE_BOOST_ROWS = ", ".join(
+    [f"('{w}', CAST(0.293 AS DOUBLE))" for w in FIXTURE_BOOSTERS_UP + PHRASE_BOOSTERS_UP]
+    + [f"('{w}', CAST(-0.293 AS DOUBLE))" for w in FIXTURE_BOOSTERS_DOWN + PHRASE_BOOSTERS_DOWN]
+)
+
 ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "interactions": ((), """
         SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
@@ -131,9 +142,13 @@ ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE NOT (review_time < TIMESTAMP '1999-01-01 00:00:00') GROUP BY user_id, book_title"""),
     "lexicon": ((), f"SELECT * FROM (VALUES {_LEX_ROWS}) t(token, valence)"),
     "boosters": ((), f"SELECT * FROM (VALUES {_BOOST_ROWS}) t(tok, b)"),
+    "phrase_lexicon": ((), f"SELECT * FROM (VALUES {_PHRASE_LEX_ROWS}) t(token, valence)"),
+    "phrase_boosters": ((), f"SELECT * FROM (VALUES {_PHRASE_BOOST_ROWS}) t(tok, b)"),
+    "phrases": ((), "SELECT phrase, len(string_split(phrase, ' ')) AS len FROM (VALUES " + ", ".join(f"('{p}')" for p in FIXTURE_PHRASES) + ") t(phrase)"),
 }
 
 NEGATOR_LIST_SQL = _list(FIXTURE_NEGATORS)
+PHRASE_NEGATOR_LIST_SQL = _list(FIXTURE_NEGATORS + PHRASE_NEGATORS)
 
 
 def with_roles(body: str, *names: str) -> str:

@@ -112,7 +112,7 @@ from recoengine.functions.text import similarity_text, title_key, title_key_stri
 from recoengine.operators import columns as C  # noqa: E402
 from recoengine.operators.cf import user_history  # noqa: E402
 from recoengine.operators.ranking import first_per_key  # noqa: E402
-from recoengine.plans.stages import stage_funnel  # noqa: E402
+from recoengine.plans.stages import preprocess_stage, stage_funnel  # noqa: E402
 
 
 @register(
@@ -413,6 +413,15 @@ def agg_7(spark, d):
     return stage_funnel(R.reviews_raw(spark, d), 3, 3)
 
 
+@register("AGG_7_observed_funnel", FUNNEL_SQL, ("reviews_raw",))
+def agg_7_observed(spark, d):
+    """The same counts, taken while the stage's result is written: one execution."""
+    counts = profile.StepCounts()
+    kept = preprocess_stage(R.reviews_raw(spark, d), 3, 3, counts=counts)
+    io.write_parquet(kept, io.scratch_path(spark, "observed-funnel"))
+    return counts.funnel(spark)
+
+
 @register(
     "AGG_9_user_activity",
     """SELECT user_id, CAST(count(*) AS BIGINT) AS cnt, round(avg(label_rating), 6) + 0.0 AS avg_r FROM event_interactions GROUP BY user_id""",
@@ -466,6 +475,20 @@ def src_2(spark, d):
     return back.select("user_id", "book_title", F.col("rating").cast("double").alias("rating"), "review_time")
 
 
+@register(
+    "SNK_2_staged_overwrite",
+    f"""WITH {DEDUPED_SQL} SELECT user_id, book_title, CAST(rating AS DOUBLE) AS rating FROM deduped WHERE rating >= 3""",
+    ("interactions",),
+)
+def snk_2_staged(spark, d):
+    """SNK-2 over the path that the rows are read from: staged, counted, then switched."""
+    path = io.scratch_path(spark, "overwritten")
+    io.write_table(deduped(spark, d).select("user_id", "book_title", "rating"), path)
+    liked = io.read_parquet(spark, path).filter("rating >= 3")
+    io.write_table(liked, path, staged=True)
+    return io.read_parquet(spark, path).select("user_id", "book_title", F.col("rating").cast("double").alias("rating"))
+
+
 @register("SRC_3_read_first_available", "SELECT * FROM part")
 def src_3(spark, d):
     """SRC-3: a missing Parquet path is skipped, the next source is read."""

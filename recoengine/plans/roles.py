@@ -222,6 +222,35 @@ FIXTURE_BOOSTERS_UP = ("for", "on", "very")
 FIXTURE_BOOSTERS_DOWN = ("this", "des")
 
 
+# ---- fixed values: phrases of that prose.  Some are scored, some are rules of
+# their own (PHRASE_*), the others only keep their words from counting.
+FIXTURE_PHRASES = ("of the", "the and", "and attion to", "the the", "the the the", "de la", "is the", "in the", "by the")
+PHRASE_LEXICON = (("the and", 0.8), ("and attion to", -1.4), ("the the", 0.3))
+PHRASE_NEGATORS = ("is the",)
+PHRASE_BOOSTERS_UP = ("of the",)
+PHRASE_BOOSTERS_DOWN = ("the the the",)
+
+
+def fixture_phrases(spark: SparkSession) -> DataFrame:
+    from recoengine.session import literal_rows
+
+    return literal_rows(spark, [(p,) for p in FIXTURE_PHRASES], ["phrase"])
+
+
+def phrase_lexicon(spark: SparkSession) -> DataFrame:
+    from recoengine.session import literal_rows
+
+    return literal_rows(spark, [(t, float(v)) for t, v in FIXTURE_LEXICON + PHRASE_LEXICON], ["token", "valence"])
+
+
+def phrase_rules() -> dict:
+    return {
+        "negators": FIXTURE_NEGATORS + PHRASE_NEGATORS,
+        "boosters_up": FIXTURE_BOOSTERS_UP + PHRASE_BOOSTERS_UP,
+        "boosters_down": FIXTURE_BOOSTERS_DOWN + PHRASE_BOOSTERS_DOWN,
+    }
+
+
 def fixture_lexicon(spark: SparkSession) -> DataFrame:
     from recoengine.session import literal_rows
 

@@ -7,7 +7,8 @@ quoted fields with commas, quotes or line breaks stay whole (G1).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +74,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", multi_line:
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", balance: bool = True, files: int | None = None) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", balance: bool = True, files: int | None = None, staged: bool = False) -> None:
     """Parquet or CSV with header, file sizes left to AQE (REBALANCE) unless
-    a file count is given."""
-    if fmt == "parquet":
+    a file count is given; ``staged`` writes by :func:`write_staged`."""
+    if staged:
+        write_staged(df.sparkSession, path, lambda folder: write_table(df, folder, fmt, balance, files))
+    elif fmt == "parquet":
         write_parquet(df, path, files=files, balance=balance)
     elif fmt == "csv":
         write_csv(df, path, files=files, balance=balance)
@@ -175,11 +178,52 @@ def write_parquet(
     writer.parquet(path)
 
 
+def write_staged(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[str], None] | None = None) -> None:
+    """SNK-1/2: replace ``path`` only by data that is whole.
+
+    ``write(folder)`` writes a staging folder beside ``path`` and ``check(folder)``
+    may raise on what it finds there.  Then the old data steps aside, the staging folder takes
+    its name, and the old data is deleted last.  When anything raises before the switch,
+    ``path`` is as it was and the staging folder is deleted; when the switch itself
+    fails, the old data gets its name back.  As the job ends before the switch, a frame
+    that reads ``path`` may be written to it.  The switch is two renames: a
+    reader in between finds no folder, and on stores without renames use versions
+    (``FactorModel.save``) instead.
+    """
+    path = path.rstrip("/")
+    token = uuid.uuid4().hex
+    jvm = spark.sparkContext._jvm
+    target, staging, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.staging-{token}", f"{path}.old-{token}"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def rename(a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"cannot rename {a} to {b}")
+
+    try:
+        write(staging.toString())
+        if check:
+            check(staging.toString())
+        had = fs.exists(target)
+        if had:
+            rename(target, old)
+        try:
+            rename(staging, target)
+        except BaseException:
+            if had:
+                rename(old, target)
+            raise
+    except BaseException:
+        fs.delete(staging, True)
+        raise
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a job's own intermediate output, under the shared
     ``spark.checkpoint.dir`` (never a machine-local folder on a cluster)."""
-    import uuid
-
     from recoengine.session import ensure_checkpoint_dir
 
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/recoengine-scratch/{name}-{uuid.uuid4().hex}"
