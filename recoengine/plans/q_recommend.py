@@ -152,16 +152,16 @@ def cf_1i(spark, d):
 @register(
     "CF_1_extended_index",
     """WITH old AS (SELECT user_id, row_number() OVER (ORDER BY cnt DESC, user_id ASC) - 1 AS user_index
-             FROM (SELECT user_id, count(*) AS cnt FROM cf_ratings WHERE review_time < TIMESTAMP '1993-01-01 00:00:00' GROUP BY user_id)),
+             FROM (SELECT user_id, count(*) AS cnt FROM cf_ratings WHERE review_time < TIMESTAMP '1996-01-01 00:00:00' GROUP BY user_id)),
            new AS (SELECT user_id, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY cnt DESC, user_id ASC) - 1 AS user_index
              FROM (SELECT user_id, count(*) AS cnt FROM cf_ratings WHERE user_id NOT IN (SELECT user_id FROM old) GROUP BY user_id))
        SELECT user_id, CAST(user_index AS INTEGER) AS user_index FROM old UNION ALL SELECT user_id, CAST(user_index AS INTEGER) FROM new""",
     ("cf_ratings",),
 )
 def cf_1_extended(spark, d):
-    """CF-1 when rows arrive: the users of the ratings before 1993, then all ratings."""
+    """CF-1 when rows arrive: the users of the ratings before 1996, then all ratings."""
     ratings = R.cf_ratings(spark, d)
-    known = cf.index_ids(ratings.filter(F.col("review_time") < F.lit("1993-01-01").cast("timestamp")), "user_id", "user_index")
+    known = cf.index_ids(ratings.filter(F.col("review_time") < F.lit("1996-01-01").cast("timestamp")), "user_id", "user_index")
     return cf.extend_index(known, ratings, "user_id", "user_index")
 
 
