@@ -33,7 +33,7 @@ LEAST_GROUP, MOST_GROUP = 4 << 20, 64 << 20
 MOST_PARTITIONS = 20_000
 #: Text bytes whose keys a bucket compares, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 256 << 20, 48
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id: larger than all others
 MOST_HOT = 1000
 

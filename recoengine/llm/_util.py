@@ -63,6 +63,18 @@ def tidy(run):
     return tidied
 
 
+def tidy_pair(run):
+    """A function over two cogrouped tables that gives memory back after each group."""
+
+    def tidied(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def text_slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
     """(first, end) rows of consecutive slices holding about ``max_bytes`` of
     text each; a longer single text makes a slice of its own."""

@@ -48,8 +48,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoengine.llm._graph import connected_components
-from recoengine.llm._groups import LAST_ID, Lookup, distinct_texts, group_keys, group_texts, recurring_keys, reduced, returned_keys
-from recoengine.llm._util import cut, sorted_groups, text_bytes, text_slices
+from recoengine.llm._groups import LAST_ID, SLICE_BYTES, Lookup, distinct_texts, group_keys, group_texts, recurring_keys, reduced, returned_keys
+from recoengine.llm._util import cut, sorted_groups, text_bytes, text_slices, tidy, tidy_pair
 from recoengine.llm._words import FOLDED, WORD_STEP, Words, inside_texts, mix, prefix_sums, shingle_hashes, stretches
 
 #: Bit that tells shingles from documents among the nodes of the graph.
@@ -294,14 +294,14 @@ def _candidates(docs: DataFrame, shingle: int, rule: Rule, id_col: str, text_col
     def copies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = [np.zeros(0, np.int64)]
-            for first, end in text_slices(batch.column("text"), 1 << 20):
+            for first, end in text_slices(batch.column("text"), SLICE_BYTES):
                 size.append(np.diff(shingle_sets(*text_bytes(batch.column("text").slice(first, end - first)), shingle)[1]))
             nothing = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("first"), pa.array(np.concatenate(size), pa.int64()), nothing, nothing], ["doc_id", "first", "n_shingles", "shingles", "rare"])
 
     recurring = recurring_keys(group_keys(grouped, keys_of, buckets))
-    found = grouped.texts.groupBy("grp").cogroup(recurring.groupBy("grp")).applyInArrow(choose, SETS)
-    return found.unionByName(grouped.copies.mapInArrow(copies, SETS))
+    found = grouped.texts.groupBy("grp").cogroup(recurring.groupBy("grp")).applyInArrow(tidy_pair(choose), SETS)
+    return found.unionByName(grouped.copies.mapInArrow(tidy(copies), SETS))
 
 
 def _block_links(members: DataFrame, rule: Rule) -> DataFrame:

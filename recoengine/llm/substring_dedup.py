@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from recoengine.llm._groups import LAST_ID, Distinct, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
+from recoengine.llm._util import tidy, tidy_pair
 from recoengine.llm._words import LETTERS, Words, chosen, inside_texts, shingle_hashes
 
 LETTERS_A_WORD = 2
@@ -206,7 +207,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, phrase: int = 5, id_col: s
 
     recurring = recurring_keys(group_keys(grouped, keys_of, buckets))
     texts = grouped.texts.groupBy("grp")
-    windows = texts.cogroup(recurring.groupBy("grp")).applyInArrow(candidates, "bucket int, grp int, n int, data binary")
+    windows = texts.cogroup(recurring.groupBy("grp")).applyInArrow(tidy_pair(candidates), "bucket int, grp int, n int, data binary")
     hits = windows.groupBy("bucket").applyInArrow(earlier, "grp int, n int, data binary")
-    out = texts.cogroup(hits.groupBy("grp")).applyInArrow(remove, KEPT)
-    return out.unionByName(grouped.copies.mapInArrow(copies, KEPT))
+    out = texts.cogroup(hits.groupBy("grp")).applyInArrow(tidy_pair(remove), KEPT)
+    return out.unionByName(grouped.copies.mapInArrow(tidy(copies), KEPT))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoengine.llm._groups import LAST_ID, Distinct, Grouped, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
-from recoengine.llm._util import text_bytes, text_slices
+from recoengine.llm._util import text_bytes, text_slices, tidy, tidy_pair
 from recoengine.llm._words import BYTE_STEP, LETTERS, U, chosen, inside_texts, inverse, mix, powers, prefix_sums
 
 #: Kinds of rows on their way back to the groups.
@@ -363,8 +363,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
 
     recurring = recurring_keys(group_keys(grouped, keys_of, buckets))
     texts = grouped.texts.groupBy("grp")
-    sent = texts.cogroup(recurring.groupBy("grp")).applyInArrow(suffixes, ROWS)
+    sent = texts.cogroup(recurring.groupBy("grp")).applyInArrow(tidy_pair(suffixes), ROWS)
     settled = sent.groupBy("route").applyInArrow(sort_bucket, ROWS).groupBy("route").applyInArrow(compare_across, ROWS)
-    out = texts.cogroup(settled.groupBy("grp")).applyInArrow(remove, KEPT)
-    return out.unionByName(grouped.copies.mapInArrow(copies, KEPT))
+    out = texts.cogroup(settled.groupBy("grp")).applyInArrow(tidy_pair(remove), KEPT)
+    return out.unionByName(grouped.copies.mapInArrow(tidy(copies), KEPT))
 
