@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from recoengine.llm._util import prepare, text_bytes, text_slices, tidy
 from recoengine.llm._words import BYTE_STEP, FOLDED, U, Words, mix, prefix_sums, stretches
 
-SLICE_BYTES = 2 << 20
+#: Text read at a time in scoring and in training: a worker holds many times their bytes beside them.
+SLICE_BYTES, TRAINING_SLICE_BYTES = 512 << 10, 1 << 20
 #: Words whose n-gram vectors are gathered at a time.
 VECTOR_WORDS = 1 << 14
 BATCH_WINDOWS = 2048
@@ -111,7 +112,7 @@ def read_slices(texts: list[str], s: Settings) -> tuple[Vocabulary, np.ndarray,
     raw, parts, first, size = [t.encode() for t in texts], [], 0, 0
     for i, x in enumerate(raw):
         size += len(x)
-        if size >= SLICE_BYTES >> 1 or i == len(raw) - 1:
+        if size >= TRAINING_SLICE_BYTES or i == len(raw) - 1:
             own = raw[first : i + 1]
             parts.append(read_words(np.frombuffer(b"".join(own), np.uint8), np.concatenate([[0], np.cumsum([len(y) for y in own])]), s))
             first, size = i + 1, 0
@@ -394,7 +395,7 @@ def trained_network(docs: DataFrame, labels: DataFrame, settings: Settings | Non
         for name, p in net.p.items():
             yield pd.DataFrame({"name": [name], "shape": [list(p.shape)], "data": [p.astype("<f4").tobytes()]})
 
-    found = training_sample(docs, labels, **sample).coalesce(1).mapInPandas(fit, "name string, shape array<int>, data binary").collect()  # some MB
+    found = training_sample(docs, labels, **sample).coalesce(1).mapInPandas(tidy(fit), "name string, shape array<int>, data binary").collect()  # some MB
     return Network(s, {r.name: np.frombuffer(r.data, "<f4").reshape(r.shape).copy() for r in found})
 
 
