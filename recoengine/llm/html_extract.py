@@ -14,13 +14,16 @@ Defined cases: null or empty html has the empty text; a page without main
 blocks too; a page that breaks off is read as far as it goes (an open tag at
 its end is no text); equal pages have equal texts; rows are kept one by one,
 also with equal or null ids; an empty table gives an empty result; further
-columns are not read.
+columns are not read; labels of equal likelihood: other before main.  A very
+long or deeply nested page takes time and memory in proportion to its size: an
+element is held once, with the sum of its features' weights.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,7 +41,7 @@ SLICE_BYTES = 4 << 20
 #: Elements whose content is never page text: those of raw text run to their
 #: end tag (or the end of the page), the others as long as they are open.
 RAW_TEXT = "script style noscript iframe title textarea".split()
-HIDDEN = set("template svg math object head select option datalist".split())
+HIDDEN = set("template svg annotation annotation-xml head select option datalist".split())
 #: Hidden elements that a block closes, as they hold none.
 WITHOUT_BLOCKS = {"head", "option"}
 #: Elements that begin and end a block.
@@ -66,13 +69,60 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-NAME_PART = re.compile(r"[A-Z]?[a-z]+")
+#: Words of a name; single letters and what follows a digit are mostly parts of generated names.
+NAME_PART = re.compile(r"(?<![0-9])(?:[A-Z][a-z]+|(?<![A-Za-z])[a-z]{2,})")
 PHRASES = re.compile(r"©|\b(cookies?|subscribe|newsletter|share|comments?|reply|log in|sign up|copyright|rights reserved|advertisement|sponsored|related|read more|privacy|terms|popular|search|says|contact|home)\b", re.I)
 
 
+class Node:
+    """An open element below its ancestors: tag and words of its names.
+    Equal paths share their nodes, so a page holds each element once however
+    deep it nests."""
+
+    __slots__ = ("parent", "tag", "names", "children", "own", "level", "weight")
+
+    def __init__(self, parent: Node | None = None, tag: str = "", names: tuple[str, ...] = ()):
+        self.parent, self.tag, self.names = parent, tag, names
+        self.children: dict[tuple[str, tuple[str, ...]], Node] = {}
+        counts = tag in BLOCK and tag not in ("html", "body")
+        self.own: str = tag if counts else parent.own if parent else "-"  # the innermost block element
+        self.level: int = (parent.level if parent else 0) + counts
+        self.weight: tuple[frozenset[str], np.ndarray] | None = None  # set by Crf.path_weight
+
+    def added(self) -> list[str]:
+        """Features of this element, which hold for all below it."""
+        out = [f"name:{w}" for w in self.names]
+        if self.parent and self.level > self.parent.level:
+            out += [f"in:{self.tag}", f"pair:{self.parent.own}>{self.tag}"]
+        return out
+
+    def last(self) -> list[str]:
+        """Features of a block right below this element."""
+        return [f"own:{self.own}", f"depth:{min(self.level, 6)}"]
+
+
+class Paths:
+    """The nodes that a worker's pages share, given up when there are many."""
+
+    def __init__(self, most: int = 50_000):
+        self.most, self.root, self.made = most, Node(), 0
+
+    def top(self) -> Node:
+        if self.made > self.most:
+            self.root, self.made = Node(), 0
+        return self.root
+
+    def below(self, node: Node, tag: str, names: tuple[str, ...]) -> Node:
+        found = node.children.get((tag, names))
+        if found is None:
+            found = node.children[tag, names] = Node(node, tag, names)
+            self.made += 1
+        return found
+
+
 @dataclass
 class Block:
-    path: tuple[tuple[str, tuple[str, ...]], ...]  # the open elements: tag, words of its names
+    path: Node  # the innermost open element
     text: str
     linked: int  # characters inside links
 
@@ -84,11 +134,14 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(sorted({x.lower() for x in NAME_PART.findall(found)}))
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str, paths: Paths | None = None) -> list[Block]:
     """The leaf blocks of a page in its order; character references are
     decoded, white space inside a block is one space."""
+    paths = paths or Paths()
+    top = paths.top()
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Node] = []
+    open_tags: Counter[str] = Counter()
     held: list[tuple[str, bool]] = []
     links = 0
     hidden: int | None = None  # place of the outermost open hidden element
@@ -97,7 +150,7 @@ def blocks_of(html: str) -> list[Block]:
         if held:
             text = " ".join("".join(x for x, _ in held).split())
             if text:
-                out.append(Block(tuple(stack), text, sum(len(x) for x, linked in held if linked)))
+                out.append(Block(stack[-1] if stack else top, text, sum(len(x) for x, linked in held if linked)))
             held.clear()
 
     def add(piece: str) -> None:
@@ -106,7 +159,9 @@ def blocks_of(html: str) -> list[Block]:
 
     def pop_to(depth: int) -> None:
         nonlocal links, hidden
-        links -= sum(1 for tag, _ in stack[depth:] if tag == "a")
+        for node in stack[depth:]:
+            open_tags[node.tag] -= 1
+            links -= node.tag == "a"
         del stack[depth:]
         if hidden is not None and hidden >= depth:
             hidden = None
@@ -124,47 +179,48 @@ def blocks_of(html: str) -> list[Block]:
         if m[2]:  # an end tag
             if tag in BLOCK and hidden is None:
                 flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
+            for depth in range(len(stack) - 1, -1, -1) if open_tags[tag] else ():
+                if stack[depth].tag == tag:
                     if tag in BLOCK and hidden is not None and hidden >= depth:
                         pop_to(hidden)
                         flush()
                     pop_to(depth)
                     break
-                if tag not in BLOCK and tag not in HIDDEN and stack[depth][0] in BLOCK:
+                if tag not in BLOCK and tag not in HIDDEN and stack[depth].tag in BLOCK:
                     break
             continue
         if tag in BLOCK or tag == "option":
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in WITHOUT_BLOCKS:
+                if stack[depth].tag in WITHOUT_BLOCKS:
                     pop_to(depth)
                     break
-                if stack[depth][0] in BLOCK or stack[depth][0] in HIDDEN:
+                if stack[depth].tag in BLOCK or stack[depth].tag in HIDDEN:
                     break
         if tag in BLOCK:
             if hidden is None:
                 flush()
             if tag in NOT_IN_P:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == "p":
+                for depth in range(len(stack) - 1, -1, -1) if open_tags["p"] else ():
+                    if stack[depth].tag == "p":
                         pop_to(depth)
                         break
-                    if stack[depth][0] in BLOCK or stack[depth][0] in HIDDEN:
+                    if stack[depth].tag in BLOCK or stack[depth].tag in HIDDEN:
                         break
             if tag in CLOSES:
                 ends, shields = CLOSES[tag]
                 for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] in ends:
+                    if stack[depth].tag in ends:
                         pop_to(depth)
                         break
-                    if stack[depth][0] in shields or stack[depth][0] in HIDDEN:
+                    if stack[depth].tag in shields or stack[depth].tag in HIDDEN:
                         break
         elif tag in ("br", "wbr", "img") and hidden is None:
             held.append((" " if tag != "wbr" else "", False))
         if tag not in VOID and not m[0].endswith("/>"):
             if hidden is None and tag in HIDDEN:
                 hidden = len(stack)
-            stack.append((tag, _names(m[4])))
+            stack.append(paths.below(stack[-1] if stack else top, tag, _names(m[4])))
+            open_tags[tag] += 1
             links += tag == "a"
     add(html[at:])
     if hidden is not None:
@@ -173,13 +229,12 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
-def path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> list[str]:
+def path_features(path: Node) -> list[str]:
     """Features of a block's ancestors (the same for all blocks of a path)."""
-    tags = [tag for tag, _ in path if tag in BLOCK and tag not in ("html", "body")]
-    found = {f"in:{t}" for t in tags} | {f"name:{w}" for _, names in path for w in names}
-    found |= {f"pair:{a}>{b}" for a, b in zip(["-", *tags], tags, strict=False)}
-    found.add(f"own:{tags[-1] if tags else '-'}")
-    found.add(f"depth:{min(len(tags), 6)}")
+    found, node = set(path.last()), path
+    while node is not None:
+        found.update(node.added())
+        node = node.parent
     return sorted(found)
 
 
@@ -228,26 +283,36 @@ class Crf:
             out.append(label)
         return np.array(out[::-1])
 
-    def emissions(self, blocks: list[Block], paths: dict) -> np.ndarray:
+    def path_weight(self, path: Node) -> tuple[frozenset[str], np.ndarray]:
+        """The known features that a path's elements have, and the sum of their
+        weights, made of those of the element above."""
+        todo, node = [], path
+        while node is not None and node.weight is None:
+            todo.append(node)
+            node = node.parent
+        seen, total = node.weight if node is not None else (frozenset(), np.zeros(2))
+        for node in reversed(todo):
+            new = {f for f in node.added() if f in self.features} - seen
+            if new:
+                seen, total = seen | new, sum((self.features[f] for f in sorted(new)), total)
+            node.weight = (seen, total)
+        return seen, total
+
+    def emissions(self, blocks: list[Block]) -> np.ndarray:
+        """Scores of each block's labels; nodes keep their sums, so those of
+        one model only."""
         out = np.zeros((len(blocks), 2))
-        nothing = np.zeros(2)
         for i, b in enumerate(blocks):
-            own = paths.get(b.path)
-            if own is None:
-                own = sum((self.features.get(f, nothing) for f in path_features(b.path)), nothing)
-                if len(paths) > 50_000:
-                    paths.clear()
-                paths[b.path] = own
-            out[i] = own
-            for f in text_features(b, i, len(blocks)):
+            out[i] = self.path_weight(b.path)[1]
+            for f in [*b.path.last(), *text_features(b, i, len(blocks))]:
                 w = self.features.get(f)
                 if w is not None:
                     out[i] += w
         return out
 
-    def main_text(self, html: str | None, paths: dict | None = None) -> str:
-        blocks = blocks_of(html) if html else []
-        labels = self.decode(self.emissions(blocks, {} if paths is None else paths))
+    def main_text(self, html: str | None, paths: Paths | None = None) -> str:
+        blocks = blocks_of(html, paths) if html else []
+        labels = self.decode(self.emissions(blocks))
         return "\n\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label)
 
 
@@ -316,7 +381,7 @@ def extract(pages: DataFrame, model: Crf | None = None, id_col: str = "page_id",
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, paths = shared.value, {}
+        own, paths = shared.value, Paths()
         for batch in batches:
             for first, end in text_slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(first, end - first)
