@@ -417,8 +417,11 @@ def agg_7(spark, d):
 def agg_7_observed(spark, d):
     """The same counts, taken while the stage's result is written: one execution."""
     counts = profile.StepCounts()
-    kept = preprocess_stage(R.reviews_raw(spark, d), 3, 3, counts=counts)
-    io.write_parquet(kept, io.scratch_path(spark, "observed-funnel"))
+    reviews, texts = R.marked_reviews(spark, d)
+    kept = preprocess_stage(reviews, 3, 3, counts=counts)
+    path = io.scratch_path(spark, "observed-funnel")
+    io.write_parquet(kept, f"{path}/rows")
+    io.write_parquet(texts, f"{path}/texts")  # by place, each once
     return counts.funnel(spark)
 
 
