@@ -78,3 +78,41 @@ def test_a_stored_model_serves_what_the_fit_does(spark, ratings, tmp_path, monke
     assert rows(cf.recommend(loaded, some, n=5)) == [r for r in rows(cf.recommend(model, n=5)) if r[0] in ("u1", "u7")]
     assert cf.recommend(cf.FactorModel.load(spark, path, first), some, n=5).select("user_id").distinct().count() == 1
     assert first != second
+
+
+def test_some_users_are_chosen_once(spark, ratings):
+    """What chooses the users is not read again by each join of their recommendations."""
+    model, _ = cf.fit_model(ratings, cf.AlsParams(max_iter=2))
+    calls = spark.sparkContext.accumulator(0)
+
+    def choose(rows):
+        calls.add(1)
+        yield from rows
+
+    chosen = spark.createDataFrame([("u1",)], "user_id string").coalesce(1).rdd.mapPartitions(choose).toDF("user_id string")
+    before = calls.value
+    recs = cf.recommend(model, chosen, n=5)
+    chosen_once = calls.value - before
+    assert recs.count() == 5 and calls.value - before == chosen_once
+
+
+def test_states_are_ranked_seldom(monkeypatch):
+    """Users of a batch go through the strips in parts; a state is not ranked at every strip."""
+    import pyarrow as pa
+
+    rng, ranked = np.random.default_rng(1), []
+    plain = factor_search.Search.rank
+    monkeypatch.setattr(factor_search.Search, "rank", lambda self: (ranked.append(1), plain(self))[1])
+    monkeypatch.setattr(factor_search, "STRIP", 16)
+    factors = rng.random((3200, 4)) + 1
+    factors = factors[np.argsort(-(factors**2).sum(axis=1))]
+    vectors = (rng.random((50, 4)) - 0.5).astype(np.float32)
+    none = pa.array([[]] * 50, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(50), pa.int32()), pa.array(vectors.tolist(), pa.list_(pa.float32())), none, pa.array([[]] * 50, pa.list_(pa.float64())), none],
+        ["user_index", "features", "items", "scores", "seen"],
+    )
+    (out,) = factor_search._search(5, factors, np.arange(3200), 0, -np.inf)([batch])
+    products = vectors.astype(float) @ factors.T
+    assert [sorted(r) for r in out.column("items").to_pylist()] == [sorted(np.argsort(-p)[:5].tolist()) for p in products]
+    assert len(ranked) < 100  # of 200 strips
