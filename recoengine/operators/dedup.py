@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recoengine.operators.profile import StepCounts
 from recoengine.operators.ranking import first_per_key
 from recoengine.operators.skew import split_join
+from recoengine.sources.io import stored
 
 
 def latest_order(df: DataFrame, time_col: str = "review_time", rating_col: str = "rating", tie_breakers: Sequence[str] = ()) -> list[Column]:
@@ -40,6 +41,25 @@ def dedup_latest(
     return first_per_key(df, list(keys), list(order))
 
 
+def dedup_thinned(
+    df: DataFrame,
+    columns: Sequence[str],
+    min_user: int = 3,
+    min_item: int = 3,
+    keys: Sequence[str] = ("user_id", "book_title"),
+    tie_breakers: Sequence[str] = (),
+) -> DataFrame:
+    """WIN-1, then THN-1, and of the rows ``columns`` (with the keys).
+
+    Both counts and the filters read the deduplicated rows, and differently
+    pruned branches of a plan share no shuffle; so WIN-1 (an action) runs once
+    and stores its rows, with nothing but the columns asked for.
+    """
+    keys = list(keys)
+    rows = dedup_latest(df, keys, tie_breakers=tie_breakers).select(*keys, *[c for c in columns if c not in keys])
+    return thin_sparse(stored(rows, "deduped"), min_user, min_item, *keys).select(*columns)
+
+
 def thin_sparse(
     df: DataFrame,
     min_user: int = 3,

@@ -23,6 +23,11 @@ def deduped(spark, d):
     )
 
 
+def thinned(spark, d, columns, min_user, min_item):
+    rows = filters.valid_ratings(R.interactions(spark, d))
+    return dedup.dedup_thinned(rows, columns, min_user, min_item, tie_breakers=R.INTERACTION_TIE_BREAKERS)
+
+
 DEDUPED_SQL = f"""
     deduped AS (
       SELECT * EXCLUDE (rn) FROM (
@@ -45,8 +50,7 @@ DEDUPED_SQL = f"""
 )
 def top_1(spark, d):
     """Flagship slice: FLT-1 → WIN-1 → THN-1 → AGG-8 → TOP-1."""
-    thinned = dedup.thin_sparse(deduped(spark, d), 3, 3)
-    top = top_popular(thinned, 400)
+    top = top_popular(thinned(spark, d, ["book_title", "rating"], 3, 3), 400)
     return top.select("book_title", F.col("review_count").cast("long").alias("review_count"), round6("avg_rating").alias("avg_rating"))
 
 
@@ -73,12 +77,12 @@ def _thin_sql(mu: int, mi: int) -> str:
 @register("THN_1_thin_sparse_30_28", _thin_sql(30, 28), ("interactions",))
 def thn_1(spark, d):
     """THN-1 with thresholds that bite on the driver data (FIXTURES.md)."""
-    return dedup.thin_sparse(deduped(spark, d), 30, 28).select("user_id", "book_title", "l_orderkey", "l_linenumber")
+    return thinned(spark, d, ["user_id", "book_title", "l_orderkey", "l_linenumber"], 30, 28)
 
 
 @register("THN_1_thin_sparse_3_3", _thin_sql(3, 3), ("interactions",))
 def thn_1_default(spark, d):
-    return dedup.thin_sparse(deduped(spark, d), 3, 3).select("user_id", "book_title", "l_orderkey", "l_linenumber")
+    return thinned(spark, d, ["user_id", "book_title", "l_orderkey", "l_linenumber"], 3, 3)
 
 
 @register(

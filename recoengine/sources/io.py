@@ -227,3 +227,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     from recoengine.session import ensure_checkpoint_dir
 
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/recoengine-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a fresh scratch folder, and read from
+    there: for thin rows that several jobs read, at a few bytes a row where a
+    checkpoint holds whole row objects and runs its last stage twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

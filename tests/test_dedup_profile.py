@@ -106,3 +106,16 @@ def test_distributed_quantiles_with_a_hot_value(spark):
     a = profile.numeric_summary(df, F.col("x")).first()
     b = profile.numeric_summary(df, F.col("x"), method="distributed").first()
     assert a == b
+
+
+def test_dedup_thinned_runs_the_dedup_once(spark):
+    import datetime as dt
+
+    rows = [(u, b, float(1 + (i + j) % 5), dt.datetime(2020, 1, 1 + j), i) for i, (u, b) in enumerate((u, b) for u in ("u1", "u2", "u3", "u4", None) for b in ("a", "b", "c", None)) for j in range(2)]
+    rows += [("u5", "a", 3.0, dt.datetime(2020, 1, 1), 99), ("u6", None, 3.0, dt.datetime(2020, 1, 1), 100), ("u6", "a", 3.0, dt.datetime(2020, 1, 1), 101), ("u6", "b", 3.0, dt.datetime(2020, 1, 1), 102)]
+    df = spark.createDataFrame(rows, "user_id string, book_title string, rating double, review_time timestamp, n int")
+    got = dedup.dedup_thinned(df, ["user_id", "book_title", "n", "rating"], 3, 5, tie_breakers=["n"])
+    plain = dedup.thin_sparse(dedup.dedup_latest(df, tie_breakers=["n"]), 3, 5).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert got.filter("book_title = 'a'").count() == 5 and got.filter("book_title = 'c'").count() == 0
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
