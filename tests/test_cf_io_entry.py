@@ -151,3 +151,22 @@ def test_sentiment_requires_its_columns(spark):
     lex = spark.createDataFrame([("x", 1.0)], "token string, valence double")
     with pytest.raises(MissingColumnsError):
         score_sentiment(df, lex)
+
+
+def test_indexed_split_stores_the_ratings_once(spark):
+    from pyspark.sql import functions as F
+
+    from recoengine.operators import cf
+
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 37 != 0, F.concat(F.lit("u"), (F.col("id") % 23).cast("string"))).alias("user_id"),
+        F.when(F.col("id") % 41 != 0, F.concat(F.lit("b"), (F.col("id") % 17).cast("string"))).alias("book_title"),
+        (1 + F.col("id") % 5).cast("float").alias("label_rating"),
+    )
+    parts = cf.indexed_split(rows)
+    plain = cf.split(cf.add_indexes(rows)[0])
+    for got, want in zip(parts, plain):
+        assert got.columns == ["user_index", "book_index", "label_rating"]
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+        assert got.count() > 0
