@@ -116,3 +116,28 @@ def test_states_are_ranked_seldom(monkeypatch):
     products = vectors.astype(float) @ factors.T
     assert [sorted(r) for r in out.column("items").to_pylist()] == [sorted(np.argsort(-p)[:5].tolist()) for p in products]
     assert len(ranked) < 100  # of 200 strips
+
+
+def test_products_that_agree_in_single_precision(spark):
+    """Items that only double precision tells apart, also beyond the numbers of single precision."""
+    small = 2.0**-26
+    for scale in (1.0, 1e18):
+        users = spark.createDataFrame([(1, [scale, scale * small]), (2, [scale, -scale * small])], "id int, features array<float>")
+        items = spark.createDataFrame([(i, [scale, scale * float((7 * i) % 31)]) for i in range(31)], "id int, features array<float>")
+        seen = spark.createDataFrame([(1, 3)], "user_index int, book_index int")
+        got = defaultdict(list)
+        for r in factor_search.best_unseen(users, items, seen, 4).collect():
+            got[r.user_index].append((-r.cf_score, r.book_index))
+        order = sorted(range(31), key=lambda i: (7 * i) % 31)
+        assert [i for _, i in sorted(got[1])] == [i for i in order[::-1] if i != 3][:4]
+        assert [i for _, i in sorted(got[2])] == order[:4]
+
+
+def test_tasks_have_enough_to_do(spark):
+    """3e8 products took 18 tasks, of which each read all items for a moment's work."""
+    item = F.transform(F.array(*[F.lit(k) for k in range(3)]), lambda k: F.rand(3).cast("float"))
+    users = spark.range(30_000).select(F.col("id").cast("int").alias("id"), item.alias("features"))
+    items = spark.range(10_000).select(F.col("id").cast("int").alias("id"), item.alias("features"))
+    seen = spark.createDataFrame([], "user_index int, book_index int")
+    pairs = factor_search.best_unseen(users, items, seen, 1)
+    assert pairs.rdd.getNumPartitions() <= max(2, spark.sparkContext.defaultParallelism)
