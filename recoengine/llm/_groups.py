@@ -43,6 +43,7 @@ class Grouped:
     texts: DataFrame  # grp, doc_id, text; dealt by grp
     copies: DataFrame  # doc_id, first, text: further copies of the texts with very many
     n_buckets: int
+    n_bytes: int  # of all texts
 
 
 def group_texts(docs: DataFrame, group_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> Grouped:
@@ -60,7 +61,7 @@ def group_texts(docs: DataFrame, group_bytes: int | None = None, id_col: str = "
     further = is_hot & ~F.col("doc_id").eqNullSafe(F.col("first"))
     dealt = F.when(is_hot, F.xxhash64("k1", F.spark_partition_id())).otherwise(F.col("k1"))
     texts = marked.filter(~further).select(F.pmod(dealt, F.lit(groups)).cast("int").alias("grp"), "doc_id", "text")
-    return Grouped(texts.repartition(min(groups, MOST_PARTITIONS), "grp"), marked.filter(further).select("doc_id", "first", "text"), buckets)
+    return Grouped(texts.repartition(min(groups, MOST_PARTITIONS), "grp"), marked.filter(further).select("doc_id", "first", "text"), buckets, int(size))
 
 
 @dataclass
@@ -93,6 +94,27 @@ def distinct_texts(table: pa.Table) -> Distinct:
     return Distinct(first, coded.dictionary, rows, ids)
 
 
+def packed(data: bytes) -> bytes:
+    """Compressed, and the size before it in front."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def packed_rising(values: np.ndarray) -> bytes:
+    """Rising 32-bit values as the steps between them, compressed byte by byte:
+    of many values the upper bytes are hardly anything."""
+    steps = np.diff(values.astype("<u4"), prepend=np.zeros(1, "<u4"))
+    return packed(steps.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked_rising(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(unpacked(data), np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u4").ravel(), dtype="<u4")
+
+
 Keys = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -133,7 +155,7 @@ def group_keys(grouped: Grouped, keys_of: Keys, buckets: int) -> DataFrame:
             own = [b for b in range(buckets) if ends[b] < ends[b + 1]]
             cells = [slice(ends[b], ends[b + 1]) for b in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int32()), pa.array([grp] * len(own), pa.int32()), pa.array([rest[c].tobytes() for c in cells], pa.binary()), pa.array([counts[c].tobytes() for c in cells], pa.binary())],
+                [pa.array(own, pa.int32()), pa.array([grp] * len(own), pa.int32()), pa.array([packed_rising(rest[c]) for c in cells], pa.binary()), pa.array([counts[c].tobytes() for c in cells], pa.binary())],
                 ["bucket", "grp", "keys", "counts"],
             )
 
@@ -146,7 +168,7 @@ def recurring_keys(keys: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.num_rows
-        parts = [np.frombuffer(x.as_buffer(), "<u4") for x in table.column("keys")]
+        parts = [unpacked_rising(x) for x in table.column("keys").to_pylist()]
         counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("counts")]).astype(np.int64)
         values, place = np.unique(np.concatenate(parts), return_inverse=True)
         total = np.bincount(place, counts, len(values)).astype("<u4")
@@ -157,7 +179,7 @@ def recurring_keys(keys: DataFrame) -> DataFrame:
             more = total[at] > 1
             if more.any():
                 own.append(i)
-                out.append(parts[i][more].tobytes())
+                out.append(packed_rising(parts[i][more]))
                 sums.append(total[at[more]].tobytes())
         picked = table.select(["grp", "bucket"]).take(pa.array(own, pa.int64()))
         return pa.table({"grp": picked.column("grp"), "bucket": picked.column("bucket"), "keys": pa.array(out, pa.binary()), "counts": pa.array(sums, pa.binary())})
@@ -169,8 +191,8 @@ def returned_keys(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray
     """The recurring keys that came back to a group (reduced, sorted) and
     the numbers of texts."""
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-    for bucket, k, c in zip(table.column("bucket").to_pylist(), table.column("keys"), table.column("counts"), strict=True):
-        keys.append(np.frombuffer(k.as_buffer(), "<u4").astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket))
+    for bucket, k, c in zip(table.column("bucket").to_pylist(), table.column("keys").to_pylist(), table.column("counts"), strict=True):
+        keys.append(unpacked_rising(k).astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket))
         counts.append(np.frombuffer(c.as_buffer(), "<u4"))
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k)

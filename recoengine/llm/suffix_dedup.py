@@ -11,7 +11,9 @@ alike.  Steps of one plan over the grouped texts
    no other text has are dropped there (nothing can match them).
 2. The others go to buckets of the array by splitters that are sampled from the
    corpus: a suffix travels as its next ``length`` bytes and the bytes before
-   it that a string around it can reach (read backwards).
+   it that a string around it can reach (read backwards).  They travel sorted and
+   compressed; a bucket's share of the text grows with the root of the corpus from
+   ``SORTED_BYTES`` to that of the buckets of keys.
 3. A bucket sorts its suffixes by multikey quicksort (eight bytes are a
    letter), takes the longest common prefixes of
    neighbours, and finds for every number of bytes before a suffix the least
@@ -33,6 +35,7 @@ further columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,12 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.llm._groups import LAST_ID, Distinct, Grouped, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, recurring_keys, reduced, returned_keys
+from recoengine.llm._groups import LAST_ID, Distinct, Grouped, Lookup, blobs, distinct_texts, from_blob, group_keys, group_texts, packed, recurring_keys, reduced, returned_keys, unpacked
 from recoengine.llm._util import text_bytes, text_slices, tidy, tidy_pair
 from recoengine.llm._words import BYTE_STEP, LETTERS, U, chosen, inside_texts, inverse, mix, powers, prefix_sums
 
 #: Kinds of rows on their way back to the groups.
 SUFFIXES, SETTLED, ACROSS = 0, 1, 2
+#: Least text bytes whose chosen suffixes meet in a bucket of the array.
+SORTED_BYTES = 32 << 20
 
 
 def chosen_suffixes(buf: np.ndarray, off: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,8 +212,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
     shape = Layout(length, gram)
     grouped: Grouped = group_texts(docs, id_col=id_col, text_col=text_col)
     buckets = grouped.n_buckets
+    cells = max(buckets, -(-grouped.n_bytes // max(SORTED_BYTES, math.isqrt(grouped.n_bytes * SORTED_BYTES // 128))))
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    splitters = sampled_splitters(plain, plain.count(), buckets, shape, sample_docs)
+    splitters = sampled_splitters(plain, plain.count(), cells, shape, sample_docs)
 
     def keys_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, keys = chosen_suffixes(buf, off, gram, length)
@@ -247,21 +253,21 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
         rest = np.flatnonzero(~lead & (doc > first_doc))
         if len(rest):
             mask = shape.mask_of_valid(left[rest], right[rest])
-            out.append((grp % buckets, grp, SETTLED, len(rest), doc[rest].tobytes() + place[rest].tobytes() + mask.tobytes()))
+            out.append((grp % cells, grp, SETTLED, len(rest), packed(doc[rest].tobytes() + place[rest].tobytes() + mask.tobytes())))
         # further places of the least document itself travel as well: they are as much in question
-        sent = np.flatnonzero(lead | (doc == first_doc))
+        sent = order[(lead | (doc == first_doc))[order]]
         route = np.searchsorted(splitters, np.ascontiguousarray(rows[sent]).view(f"S{shape.width}").ravel(), side="right") if len(splitters) else np.zeros(len(sent), np.int64)
         for bucket, n, data in blobs(route, rows[sent], left[sent].astype(np.uint8), right[sent].astype(np.uint8), doc[sent], place[sent]):
-            out.append((bucket, grp, SUFFIXES, n, data))
+            out.append((bucket, grp, SUFFIXES, n, packed(data)))
         return _table(out)
 
     def sort_bucket(table: pa.Table) -> pa.Table:
         out, parts = [], []
         for grp, kind, n, data in zip(*(table.column(c).to_pylist() for c in ("grp", "kind", "n", "data")), strict=True):
             if kind == SETTLED:
-                out.append((grp % buckets, grp, SETTLED, n, data))
+                out.append((grp % cells, grp, SETTLED, n, data))
             else:
-                rows, left, right, doc, place = from_blob(n, data, f"V{shape.width}", "u1", "u1", "<i8", "<i8")
+                rows, left, right, doc, place = from_blob(n, unpacked(data), f"V{shape.width}", "u1", "u1", "<i8", "<i8")
                 parts.append((rows.view(np.uint8).reshape(n, shape.width), left, right, doc, place, np.full(n, grp, np.int64)))
         if not parts:
             return _table(out)
@@ -292,11 +298,11 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
                 across.append((key, doc[outer], place[outer], grp[outer], np.full(len(outer), b, np.int64)))
         hit = np.flatnonzero(mask)
         for g, n, data in blobs(grp[hit], doc[hit], place[hit], mask[hit]):
-            out.append((g % buckets, g, SETTLED, n, data))
+            out.append((g % cells, g, SETTLED, n, packed(data)))
         if across:
             key, d, p, g, b = (np.concatenate([x[k] for x in across]) for k in range(5))
-            for bucket, n, data in blobs((key % U(buckets)).astype(np.int64), key, d, p, g, b.astype(np.uint8)):
-                out.append((bucket, -1, ACROSS, n, data))
+            for bucket, n, data in blobs((key % U(cells)).astype(np.int64), key, d, p, g, b.astype(np.uint8)):
+                out.append((bucket, -1, ACROSS, n, packed(data)))
         return _table(out)
 
     def compare_across(table: pa.Table) -> pa.Table:
@@ -305,19 +311,19 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, sam
             if kind == SETTLED:
                 out.append((0, grp, SETTLED, n, data))
             else:
-                parts.append(from_blob(n, data, "<u8", "<i8", "<i8", "<i8", "u1"))
+                parts.append(from_blob(n, unpacked(data), "<u8", "<i8", "<i8", "<i8", "u1"))
         if parts:
             key, doc, place, grp, b = (np.concatenate([p[k] for p in parts]) for k in range(5))
             hit = np.flatnonzero(least_by(key, doc) < doc)
             for g, n, data in blobs(grp[hit], doc[hit], place[hit], U(1) << b[hit].astype(np.uint64)):
-                out.append((0, g, SETTLED, n, data))
+                out.append((0, g, SETTLED, n, packed(data)))
         return _table(out)
 
     def remove(texts: pa.Table, hits: pa.Table) -> pa.Table:
         own = distinct_texts(texts)
-        cells = [from_blob(n, x, "<i8", "<i8", "<u8") for n, x in zip(hits.column("n").to_pylist(), hits.column("data").to_pylist(), strict=True)]
-        doc, place = (np.concatenate([np.zeros(0, np.int64), *[c[k] for c in cells]]) for k in range(2))
-        mask = np.concatenate([np.zeros(0, np.uint64), *[c[2] for c in cells]])
+        found = [from_blob(n, unpacked(x), "<i8", "<i8", "<u8") for n, x in zip(hits.column("n").to_pylist(), hits.column("data").to_pylist(), strict=True)]
+        doc, place = (np.concatenate([np.zeros(0, np.int64), *[c[k] for c in found]]) for k in range(2))
+        mask = np.concatenate([np.zeros(0, np.uint64), *[c[2] for c in found]])
         # the text that a hit is meant for: the one of its number among those with its id
         by_tie = np.empty(len(own.first), np.int64)
         by_tie[np.searchsorted(own.first, own.first) + tie_numbers(own)] = np.arange(len(own.first))

@@ -88,6 +88,25 @@ def test_repeated_bytes_match_brute_force(docs, rows_of_text, monkeypatch, group
     assert got == expected_bytes(rows_of_text)
 
 
+def test_array_in_more_buckets_than_the_keys(docs, rows_of_text, monkeypatch):
+    """The array's buckets were those of the keys, 48 up to 12 GB of text."""
+    monkeypatch.setattr(_groups.group_texts, "__defaults__", (4000, "doc_id", "text"))
+    monkeypatch.setattr(suffix_dedup, "SORTED_BYTES", 256)
+    asked, sampled = [], suffix_dedup.sampled_splitters
+    monkeypatch.setattr(suffix_dedup, "sampled_splitters", lambda docs, n, buckets, *more: asked.append(buckets) or sampled(docs, n, buckets, *more))
+    got = sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(docs).collect())
+    assert got == expected_bytes(rows_of_text) and asked[0] > 2 * _groups.group_texts(docs).n_buckets
+
+
+def test_keys_travel_as_steps():
+    for n in (0, 1, 2, 15_000):
+        keys = np.unique(np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint64)).astype("<u4")
+        data = _groups.packed_rising(keys)
+        assert np.array_equal(_groups.unpacked_rising(data), keys) and len(data) <= 3 * n + 100
+    edge = np.array([0, 1, 2**32 - 1], "<u4")
+    assert np.array_equal(_groups.unpacked_rising(_groups.packed_rising(edge)), edge)
+
+
 @pytest.mark.parametrize(("group_bytes", "tile_rows"), [(None, 2000), (4000, 3)])
 def test_jaccard_classes_match_brute_force(docs, rows_of_text, monkeypatch, group_bytes, tile_rows):
     monkeypatch.setattr(_groups.group_texts, "__defaults__", (group_bytes, "doc_id", "text"))
